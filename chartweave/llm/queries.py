@@ -8,8 +8,9 @@ from chartweave.llm.catalogue import map_entries
 from chartweave.llm.copies import collapse_copies, copy_links
 from chartweave.llm.encode import encode_corpus, tokenizer_path
 from chartweave.llm.mix import draw_mix, mix_shares
+from chartweave.llm.names import act_pairs, resolve_acts
 from chartweave.llm.residue import find_residue, without_residue
-from chartweave.session import table
+from chartweave.session import cut, table
 
 BYTE_BPE = tokenizer_path("byte_bpe_50k.tiktoken")
 
@@ -31,6 +32,14 @@ def p4_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return collapse_copies(table(spark, d, "chart_template"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return act_pairs(cut(resolve_acts(table(spark, d, "credit_names"))))
+
+
+def p6_acts(spark: SparkSession, d: str) -> DataFrame:
+    return resolve_acts(table(spark, d, "credit_names"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"), BYTE_BPE)
 
@@ -55,5 +64,5 @@ def p10_clean(spark: SparkSession, d: str) -> DataFrame:
     return without_residue(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p4_collapsed, p8_ids, p9_mix, p9_shares, p10_found, p10_reasons, p10_clean)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p4_collapsed, p6_found, p6_acts, p8_ids, p9_mix, p9_shares, p10_found, p10_reasons, p10_clean)}
 SQL: dict[str, str] = {}

@@ -83,6 +83,8 @@ FULL_FORMS: dict[str, frozenset[str]] = {}
 for _full, _shorts in SHORT_FORMS.items():
     for _s in [_full, *_shorts.split()]:
         FULL_FORMS[_s] = FULL_FORMS.get(_s, frozenset()) | {_full}
+#: Any form of a given name -> all names of the same family of forms.
+FAMILY = {f: frozenset(x for full in fulls for x in [full, *SHORT_FORMS[full].split()]) for f, fulls in FULL_FORMS.items()}
 #: Kinds of groups -> abbreviations.
 KINDS = {
     "association": "assn assoc ass'n", "quartet": "qrt qt quart", "orchestra": "orch orchest", "collective": "coll collect", "street band": "st. band|st band", "incorporated": "inc incorp", "company": "co comp", "choir": "chr ch",
