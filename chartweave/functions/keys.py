@@ -15,6 +15,11 @@ def letters(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "ß", "ss"), NOT_WORD, "")
 
 
+def has_letters(c: Column) -> Column:
+    """Whether there is a letter or digit at all; false for null."""
+    return F.coalesce(c.rlike(r"[\p{L}\p{N}]"), F.lit(False))
+
+
 def bag_hash(text: Column, seed: int = 0) -> Column:
     """Commutative 60-bit hash of the multiset of characters of `text`.
 

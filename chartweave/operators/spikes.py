@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartweave.functions.cells import count_reading, day_first_date
-from chartweave.functions.keys import record_key
+from chartweave.functions.keys import has_letters, record_key
 
 #: Field -> (least, most) that a week's count of a charted song can be.
 LIMITS = {"points": (1.0, 1e5), "sales": (0.0, 1e8), "streams": (0.0, 1e10)}
@@ -200,12 +200,13 @@ def flag_spikes(df: DataFrame, times: float = 5.0, least_run: int = 4, floor: fl
     """
     rows = df.select(
         "row_id", "market",
-        F.when(F.length("song") > 0, record_key(F.col("song"), F.col("artist"))).alias("song"),
+        record_key(F.col("song"), F.col("artist")).alias("song"),
+        (has_letters(F.col("song")) | has_letters(F.col("artist"))).alias("named"),
         F.datediff(day_first_date(F.col("chart_date")), F.lit("1970-01-01").cast("date")).alias("day"),
         *[count_reading(F.col(f)).alias(f) for f in LIMITS],
     )
     possible = {f: F.when(physically_possible(F.col(f), f), F.col(f)) for f in LIMITS}
-    weeks = rows.filter("song is not null and day is not null").groupBy("market", "song", "day").agg(*[F.min(possible[f]).alias(f"v_{f}") for f in LIMITS])
+    weeks = rows.filter("named and day is not null").groupBy("market", "song", "day").agg(*[F.min(possible[f]).alias(f"v_{f}") for f in LIMITS])
     along = Window.partitionBy("market", "song").orderBy("day")
     logs = {f: F.log(F.greatest(F.col(f"v_{f}"), F.lit(0.5))) for f in LIMITS}
     moves = weeks.select("market", *[F.abs(logs[f] - F.lag(logs[f]).over(along)).alias(f"d_{f}") for f in LIMITS])
