@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,17 +22,34 @@ def has_letters(c: Column) -> Column:
     return F.coalesce(c.rlike(r"[\p{L}\p{N}]"), F.lit(False))
 
 
+def _bag_sums(texts: pa.Array, seed: int) -> np.ndarray:
+    """Per text the sum of its bytes' random 60-bit numbers, modulo 2**60; nulls as ''."""
+    texts = texts.fill_null("")
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    numbers = np.random.default_rng(seed + 811).integers(0, 1 << 60, 256, dtype=np.uint64)
+    wide = pa.types.is_large_string(texts.type)
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.empty(0, np.uint8)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(numbers[raw], out=sums[1:])
+    return ((sums[at[1:] - at[0]] - sums[at[:-1] - at[0]]) & np.uint64(MASK60)).astype(np.int64)
+
+
 def bag_hash(text: Column, seed: int = 0) -> Column:
-    """Commutative 60-bit hash of the multiset of characters of `text`.
+    """Commutative 60-bit hash of the multiset of bytes of `text`; 0 for null and ''.
 
-    Each character's hash is added modulo 2**60, so the order of characters doesn't
-    matter but their number does; nothing is sorted.
+    Each byte stands for a random number and these are added modulo 2**60, so the order of
+    characters doesn't matter but their number does; nothing is sorted. An Arrow UDF: whole
+    batches are summed at once, several times cheaper than a lambda over each character.
     """
-    return F.aggregate(
-        F.split(text, ""),
-        F.lit(0).cast("bigint"),
-        lambda acc, ch: (acc + F.xxhash64(ch, F.lit(seed)).bitwiseAND(F.lit(MASK60))).bitwiseAND(F.lit(MASK60)),
-    )
+
+    @F.arrow_udf("bigint")
+    def bag(texts: pa.Array) -> pa.Array:
+        return pa.array(_bag_sums(texts, seed), pa.int64())
+
+    return bag(text)
 
 
 def record_key(*fields: Column, seed: int = 0) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartweave.functions.cells import day_first_date, whole_number
-from chartweave.functions.keys import record_key
+from chartweave.functions.keys import has_letters, record_key
 
 #: Field -> highest usable value.
 FIELDS = {"rank": 100, "peak": 100, "weeks_on_chart": 500}
@@ -20,7 +20,7 @@ def fill_chart_gaps(df: DataFrame, max_gap_days: int = 84) -> DataFrame:
       F_filled    int, the usable or the filled value (null only if nothing in its market's chart of that week helps),
       F_method    'observed'; 'same_week' (a copy of the record), 'interpolated' (between observed
                   neighbours), 'carried' (from one neighbour; weeks_on_chart moves with the weeks),
-                  'chart_median' (of the same market and week); 'none',
+                  'chart_median' (of the songs of the same market and week); 'none',
       F_distance  days to the farther record used, null for observed, chart_median and none.
     peak is a category: it is carried, never interpolated. A neighbour farther than
     max_gap_days isn't used.
@@ -35,24 +35,26 @@ def fill_chart_gaps(df: DataFrame, max_gap_days: int = 84) -> DataFrame:
     windows see the weeks of a song, never its copies; a hot song is small there. The
     result is joined back, where AQE splits a skewed side.
     """
+    named = has_letters(F.col("song")) | has_letters(F.col("artist"))
     rows = df.select(
         "*",
         F.datediff(day_first_date(F.col("chart_date")), F.lit("1970-01-01").cast("date")).alias("__day"),
-        record_key(F.col("song"), F.col("artist")).alias("__song"),
+        F.when(named, record_key(F.col("song"), F.col("artist"))).alias("__song"),
         *[whole_number(F.col(f), 1, hi).alias(f"__{f}") for f, hi in FIELDS.items()],
-    ).withColumn("__song", F.when((F.col("__song") != 0) & F.col("__day").isNotNull(), F.col("__song")))
+    )
     values = [F.min(f"__{f}").alias(f"__w_{f}") for f in FIELDS]
-    weeks = rows.filter(F.col("__song").isNotNull()).groupBy(F.col("market").alias("__m"), F.col("__song").alias("__s"), F.col("__day").alias("__d")).agg(*values)
+    weeks = rows.filter(named & F.col("__day").isNotNull()).groupBy(F.col("market").alias("__m"), F.col("__song").alias("__s"), F.col("__day").alias("__d")).agg(*values)
+    # one row per chart, over its songs; from the same exchange as the windows
+    charts = weeks.groupBy(F.col("__m").alias("__cm"), F.col("__d").alias("__cd")).agg(*[F.percentile_approx(f"__w_{f}", 0.5).alias(f"__c_{f}") for f in FIELDS])
     back = Window.partitionBy("__m", "__s").orderBy("__d").rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy("__m", "__s").orderBy(F.col("__d").desc()).rowsBetween(Window.unboundedPreceding, -1)
     seen = {f: F.when(F.col(f"__w_{f}").isNotNull(), F.struct(F.col("__d").alias("d"), F.col(f"__w_{f}").alias("v"))) for f in FIELDS}
     weeks = weeks.select("*", *[F.last(x, True).over(back).alias(f"__b_{f}") for f, x in seen.items()])
     weeks = weeks.select("*", *[F.last(x, True).over(ahead).alias(f"__a_{f}") for f, x in seen.items()])
     weeks = weeks.select("__m", "__s", "__d", *[_guess(f, max_gap_days).alias(f"__g_{f}") for f in FIELDS])
-    # only rows with a missing cell need a median, but its table has one row per chart
-    charts = rows.groupBy(F.col("market").alias("__cm"), F.col("__day").alias("__cd")).agg(*[F.percentile_approx(f"__{f}", 0.5).alias(f"__c_{f}") for f in FIELDS])
-    rows = rows.join(weeks, F.col("market").eqNullSafe(F.col("__m")) & (F.col("__song") == F.col("__s")) & (F.col("__day") == F.col("__d")), "left")
-    rows = rows.join(charts, (F.col("market") == F.col("__cm")) & (F.col("__day") == F.col("__cd")), "left")
+    # null-safe equality: plain equality would add null tests below the aggregate, and its exchange couldn't be shared
+    rows = rows.join(weeks, F.col("market").eqNullSafe(F.col("__m")) & F.col("__song").eqNullSafe(F.col("__s")) & F.col("__day").eqNullSafe(F.col("__d")), "left")
+    rows = rows.join(charts, F.col("market").eqNullSafe(F.col("__cm")) & F.col("__day").eqNullSafe(F.col("__cd")), "left")
     new = []
     for f in FIELDS:
         own, guess, median = F.col(f"__{f}"), F.col(f"__g_{f}"), F.col(f"__c_{f}")
