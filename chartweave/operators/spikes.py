@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from chartweave.functions.cells import count_reading, day_first_date
 from chartweave.functions.keys import has_letters, record_key
+from chartweave.session import cut
 
+#: The least typical movement assumed of a market, as a logarithm.
+LEAST_SCALE = 0.02
 #: Field -> (least, most) that a week's count of a charted song can be.
 LIMITS = {"points": (1.0, 1e5), "sales": (0.0, 1e8), "streams": (0.0, 1e10)}
 
@@ -36,6 +39,7 @@ def grow_forest(points: np.ndarray, low0: np.ndarray, high0: np.ndarray, rng: np
     feature, split, path = np.full((trees, nodes), -1, np.int8), np.zeros((trees, nodes), np.float32), np.zeros((trees, nodes), np.float32)
     at = np.zeros((trees, size), np.int64)
     base = np.arange(trees)[:, None] * nodes
+    pick_tree = np.arange(trees)
     for level in range(depth + 1):
         first, count = 2**level - 1, 2**level
         live = at >= first
@@ -52,6 +56,9 @@ def grow_forest(points: np.ndarray, low0: np.ndarray, high0: np.ndarray, rng: np
             low, high = low0, high0
         spread = high > low
         choice = np.where(spread, rng.random(spread.shape), -1.0)
+        if level == 0:
+            # every feature has the first word in as many trees
+            choice += 2.0 * (spread & (np.arange(width) == (pick_tree % width)[:, None]))
         q = choice.argmax(1)
         pick = np.arange(trees * count)
         can = spread.any(1)
@@ -80,16 +87,18 @@ def forest_scores(x: np.ndarray, group: np.ndarray, starts: np.ndarray, seeds: n
     low, high = (np.repeat(f.reduceat(x, starts, axis=0), trees, axis=0) for f in (np.minimum, np.maximum))
     feature, split, path = grow_forest(x[index], low, high, np.random.default_rng(int(seeds[0])))
     nodes = feature.shape[1]
-    flat_f, flat_s, flat_p, flat_x = feature.reshape(-1), split.reshape(-1), path.reshape(-1), x.reshape(-1)
-    rows, total = np.arange(len(x)) * x.shape[1], np.zeros(len(x))
+    flat_f, flat_s, flat_p, flat_x = np.maximum(feature, 0).reshape(-1).astype(np.int32), split.reshape(-1), path.reshape(-1), x.reshape(-1)
+    # children by absolute place; a leaf is its own child
+    at_node = np.arange(feature.size, dtype=np.int32)
+    inner = 2 * (at_node % nodes) + 1 + at_node // nodes * nodes
+    child = np.stack([np.where(feature.reshape(-1) >= 0, inner + k, at_node) for k in (0, 1)], 1).reshape(-1).astype(np.int32)
+    rows, total = (np.arange(len(x)) * x.shape[1]).astype(np.int32), np.zeros(len(x))
+    levels = int(np.log2(nodes + 1)) - 1
     for t in range(trees):
-        base = (group * trees + t) * nodes
-        at = np.zeros(len(x), np.int64)
-        for _ in range(int(np.log2(nodes + 1)) - 1):
-            f = flat_f[base + at]
-            right = flat_x[rows + np.maximum(f, 0)] > flat_s[base + at]
-            at = np.where(f >= 0, 2 * at + 1 + right, at)
-        total += flat_p[base + at]
+        at = ((group * trees + t) * nodes).astype(np.int32)
+        for _ in range(levels):
+            at = child[2 * at + (flat_x[rows + flat_f[at]] > flat_s[at])]
+        total += flat_p[at]
     return 2.0 ** (-total / trees / mean_path(np.array([sample]))[0])
 
 
@@ -102,18 +111,18 @@ def _shift(x: np.ndarray, by: int, song: np.ndarray) -> np.ndarray:
     return out
 
 
-def week_features(day: np.ndarray, song: np.ndarray, group: np.ndarray, value: np.ndarray, scale: np.ndarray) -> dict[str, np.ndarray]:
+def week_features(day: np.ndarray, song: np.ndarray, group: np.ndarray, value: np.ndarray) -> dict[str, np.ndarray]:
     """Features of the weeks of songs, sorted by group, song and day; value is NaN where it is missing.
 
-    below, above: the bounds that the neighbouring weeks allow per unit of scale are built from
-    (least and greatest logarithm of the neighbours); run: weeks in a row with the same value.
+    near_low, near_high: least and greatest logarithm of the neighbouring weeks; run: weeks in a
+    row with the same value. Features are in logarithms; a forest doesn't mind a feature's scale.
     """
     n = len(value)
-    out = {k: np.full(n, np.nan) for k in ("near_low", "near_high", "level", "diff", "season")} | {"run": np.zeros(n)}
+    out = {k: np.full(n, np.nan) for k in ("near_low", "near_high", "level", "diff", "season", "held")} | {"run": np.zeros(n)}
     ok = np.flatnonzero(~np.isnan(value))
     if not len(ok):
         return out
-    d, s, g, v, m = day[ok].astype(float), song[ok], group[ok], np.log(np.maximum(value[ok], 0.5)), scale[ok]
+    d, s, g, v = day[ok].astype(float), song[ok], group[ok], np.log(np.maximum(value[ok], 0.5))
     before, after = _shift(v, 1, s), _shift(v, -1, s)
     # at an end of the song the two nearest weeks stand in for both sides
     second = np.where(np.isnan(before), _shift(v, -2, s), np.where(np.isnan(after), _shift(v, 2, s), before))
@@ -128,19 +137,20 @@ def week_features(day: np.ndarray, song: np.ndarray, group: np.ndarray, value: n
     of_day = np.bincount(dayid, move) / np.bincount(dayid)
     same = np.concatenate([[False], (value[ok][1:] == value[ok][:-1]) & ~new_song[1:] & (np.diff(d) == 7)])
     rid = np.cumsum(~same) - 1
-    for k, x in (("near_low", low), ("near_high", high), ("level", (v - mean[sid]) / m), ("diff", step / m), ("season", (move - of_day[dayid]) / m), ("run", np.bincount(rid)[rid].astype(float))):
+    for k, x in (("near_low", low), ("near_high", high), ("level", v - mean[sid]), ("diff", step), ("season", move - of_day[dayid]), ("run", np.bincount(rid)[rid].astype(float)), ("held", np.minimum(np.bincount(rid)[rid], 4.0))):
         out[k][ok] = x
     return out
 
 
-def score_weeks(weeks: DataFrame, trees: int = 24, sample: int = 64) -> DataFrame:
-    """Isolation score, bounds and run length of each song's week; `weeks` has market, block, song, day and v_F, s_F per field F.
+def score_weeks(weeks: DataFrame, trees: int = 16, sample: int = 64) -> DataFrame:
+    """Isolation score, bounds and run length of each song's week; `weeks` has market, block, song, day and v_F, x_F per field F
+    (least value of the week's copies, and the greatest where it differs).
 
     One forest per (market, block) and field on level, difference, seasonal and run-length
     features; each tree is fitted on `sample` readings, every reading is scored. Rows must
     come sorted by these four within partitions that hold whole blocks.
     """
-    names = [f"{k}_{f}" for f in LIMITS for k in ("score", "low", "high", "run")]
+    names = [f"{k}_{f}" for f in LIMITS for k in ("v", "x", "score", "low", "high", "run")]
     schema = "market string, song bigint, day int, " + ", ".join(f"{n} double" for n in names)
 
     def solve(t: pa.Table) -> pa.RecordBatch:
@@ -151,16 +161,17 @@ def score_weeks(weeks: DataFrame, trees: int = 24, sample: int = 64) -> DataFram
         seeds = np.array([abs(int(song[i])) % (2**31) for i in starts])
         out = []
         for f in LIMITS:
-            value, scale = (t[f"{k}_{f}"].to_numpy(zero_copy_only=False).astype(float) for k in ("v", "s"))
-            w = week_features(day, song, group, value, scale)
+            value = t[f"v_{f}"].to_numpy().astype(float)
+            w = week_features(day, song, group, value)
             score = np.full(len(day), np.nan)
             ok = np.flatnonzero(~np.isnan(value))
             if len(ok):
-                x = np.nan_to_num(np.stack([np.clip(w[k][ok], -1e3, 1e3) for k in ("level", "diff", "season", "run")], 1)).astype(np.float32)
+                x = np.nan_to_num(np.stack([np.clip(w[k][ok], -1e3, 1e3) for k in ("level", "diff", "season", "held")], 1)).astype(np.float32)
                 present, sub = np.unique(group[ok], return_inverse=True)
                 score[ok] = forest_scores(x, sub, np.searchsorted(group[ok], present), seeds[present], trees, sample)
-            out += [score, w["near_low"], w["near_high"], w["run"]]
-        return pa.RecordBatch.from_arrays([t["market"].combine_chunks(), t["song"].combine_chunks(), t["day"].combine_chunks(), *[pa.array(x, pa.float64(), from_pandas=True) for x in out]], names=["market", "song", "day", *names])
+            kept = [t[f"{k}_{f}"].combine_chunks() for k in ("v", "x")]
+            out += [*kept, *[pa.array(y, pa.float64(), from_pandas=True) for y in (score, w["near_low"], w["near_high"], w["run"])]]
+        return pa.RecordBatch.from_arrays([*[t[c].combine_chunks() for c in ("market", "song", "day")], *out], names=["market", "song", "day", *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -180,7 +191,7 @@ def score_weeks(weeks: DataFrame, trees: int = 24, sample: int = 64) -> DataFram
     return weeks.mapInArrow(run, schema)
 
 
-def flag_spikes(df: DataFrame, times: float = 5.0, least_run: int = 4, floor: float = 0.37, block_rows: int = 100_000) -> DataFrame:
+def flag_spikes(df: DataFrame, times: float = 5.0, least_run: int = 4, floor: float = 0.38, block_rows: int = 100_000) -> DataFrame:
     """(row_id, market, field, value, reason, score): each implausible reading of points, sales and streams.
 
     Reasons: 'limit' - negative, fractional or beyond LIMITS; 'spike' - beyond the nearest
@@ -194,9 +205,11 @@ def flag_spikes(df: DataFrame, times: float = 5.0, least_run: int = 4, floor: fl
     without date or name are tested for limits only. Copies of a week: the smallest possible
     value stands for the week to its neighbours, each copy is tested on its own. An empty table gives an empty table.
 
-    Plan: copies collapse map-side to one row per song and week. Blocks of about block_rows
-    weeks (whole songs) bound what a forest's task holds, so a hot market is spread; its
-    scale comes from an aggregate over all its blocks.
+    Plan: copies collapse map-side to one row per song and week. One partitioning by
+    (market, block of whole songs) then serves the windows, the forests and the scale's
+    aggregate; a market of more than block_rows rows has several blocks, so a hot one is
+    spread, while its scale comes from all of them. The list of such markets is broadcast
+    only if it is short. Only weeks that any scale could flag are shuffled on.
     """
     rows = df.select(
         "row_id", "market",
@@ -206,16 +219,26 @@ def flag_spikes(df: DataFrame, times: float = 5.0, least_run: int = 4, floor: fl
         *[count_reading(F.col(f)).alias(f) for f in LIMITS],
     )
     possible = {f: F.when(physically_possible(F.col(f), f), F.col(f)) for f in LIMITS}
-    weeks = rows.filter("named and day is not null").groupBy("market", "song", "day").agg(*[F.min(possible[f]).alias(f"v_{f}") for f in LIMITS])
-    along = Window.partitionBy("market", "song").orderBy("day")
-    logs = {f: F.log(F.greatest(F.col(f"v_{f}"), F.lit(0.5))) for f in LIMITS}
-    moves = weeks.select("market", *[F.abs(logs[f] - F.lag(logs[f]).over(along)).alias(f"d_{f}") for f in LIMITS])
-    markets = moves.groupBy(F.col("market").alias("k")).agg(F.count(F.lit(1)).alias("n"), *[F.greatest(F.coalesce(1.4826 * F.percentile_approx(f"d_{f}", 0.5, 1000), F.lit(0.1)), F.lit(0.02)).alias(f"s_{f}") for f in LIMITS])
-    scaled = weeks.join(markets, F.col("market") == F.col("k")).withColumn("block", F.pmod(F.col("song"), F.ceil(F.col("n") / block_rows)).cast("bigint"))
-    scaled = scaled.select("market", "block", "song", "day", *[f"v_{f}" for f in LIMITS], *[f"s_{f}" for f in LIMITS])
-    # the forest's stage works on whole blocks: one partitioning, sorted, no further shuffle
-    scored = score_weeks(scaled.repartition("market", "block").sortWithinPartitions("market", "block", "song", "day"))
-    scored = scored.join(markets.drop("n"), F.col("market") == F.col("k")).drop("k")
+    least = [F.min(possible[f]).alias(f"v_{f}") for f in LIMITS]
+    most = [F.max(possible[f]).alias(f"m_{f}") for f in LIMITS]
+    weeks = rows.filter("named and day is not null").groupBy("market", "song", "day").agg(*least, *most)
+    large = cut(df.groupBy(F.col("market").alias("k")).count().filter(F.col("count") > block_rows).select("k", F.ceil(F.col("count") / block_rows).cast("bigint").alias("parts")))
+    weeks = weeks.join(F.broadcast(large) if large.count() <= 100_000 else large, F.col("market") == F.col("k"), "left")
+    block = F.when(F.col("parts").isNull(), F.lit(0).cast("bigint")).otherwise(F.pmod("song", "parts"))
+    readings = [c for f in LIMITS for c in (F.col(f"v_{f}"), F.when(F.col(f"m_{f}") > F.col(f"v_{f}"), F.col(f"m_{f}")).alias(f"x_{f}"))]
+    weeks = weeks.select("market", block.alias("block"), "song", "day", *readings).repartition("market", "block")
+    along = Window.partitionBy("market", "block", "song").orderBy("day")
+    log = lambda c: F.log(F.greatest(c, F.lit(0.5)))
+    move = {f: F.abs(log(F.col(f"v_{f}")) - F.lag(log(F.coalesce(f"x_{f}", f"v_{f}"))).over(along)) for f in LIMITS}
+    moves = weeks.select("market", *[m.alias(f"d_{f}") for f, m in move.items()])
+    markets = moves.groupBy(F.col("market").alias("k")).agg(*[F.greatest(F.coalesce(1.4826 * F.percentile_approx(f"d_{f}", 0.5, 1000), F.lit(0.1)), F.lit(LEAST_SCALE)).alias(f"s_{f}") for f in LIMITS])
+    scored = score_weeks(weeks.sortWithinPartitions("market", "block", "song", "day"))
+    may = F.lit(False)
+    for f in LIMITS:
+        top, bottom = log(F.coalesce(f"x_{f}", f"v_{f}")) - F.col(f"high_{f}"), F.col(f"low_{f}") - log(F.col(f"v_{f}"))
+        odd = (top > times * LEAST_SCALE) | (bottom > times * LEAST_SCALE) | (F.col(f"run_{f}") >= least_run)
+        may = may | F.coalesce(odd & (F.col(f"score_{f}") >= floor), F.lit(False))
+    scored = scored.filter(may).join(markets, F.col("market").eqNullSafe(F.col("k"))).drop("k")
     hit = {}
     for f in LIMITS:
         width = F.lit(times) * F.col(f"s_{f}")
@@ -223,11 +246,11 @@ def flag_spikes(df: DataFrame, times: float = 5.0, least_run: int = 4, floor: fl
         bounds = F.struct(F.col(f"score_{f}").alias("score"), (F.col(f"low_{f}") - width).alias("low"), (F.col(f"high_{f}") + width).alias("high"), (F.col(f"run_{f}") >= least_run).alias("stuck"))
         hit[f] = F.when(enough, bounds).alias(f"b_{f}")
     scored = scored.select(F.col("market").alias("m"), F.col("song").alias("s"), F.col("day").alias("d"), *hit.values())
-    rows = rows.join(scored, (F.col("market") == F.col("m")) & (F.col("song") == F.col("s")) & (F.col("day") == F.col("d")), "left")
+    rows = rows.join(scored, F.col("market").eqNullSafe(F.col("m")) & F.col("song").eqNullSafe(F.col("s")) & F.col("day").eqNullSafe(F.col("d")), "left")
     tests = []
     for f in LIMITS:
         v, b = F.col(f), F.col(f"b_{f}")
-        lv = F.log(F.greatest(v, F.lit(0.5)))
+        lv = log(v)
         reason = F.when(v.isNotNull() & ~physically_possible(v, f), "limit").when((lv > b["high"]) | (lv < b["low"]), "spike").when(v.isNotNull() & b["stuck"], "stuck")
         tests.append(F.when(reason.isNotNull(), F.struct(F.lit(f).alias("field"), v.alias("value"), reason.alias("reason"), F.when(reason != "limit", b["score"]).alias("score"))))
     return rows.select("row_id", "market", F.explode(F.array_compact(F.array(*tests))).alias("x")).select("row_id", "market", "x.*")
