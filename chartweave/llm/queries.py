@@ -65,4 +65,13 @@ def p10_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p4_collapsed, p6_found, p6_acts, p8_ids, p9_mix, p9_shares, p10_found, p10_reasons, p10_clean)}
-SQL: dict[str, str] = {}
+
+_L = r"regexp_replace(replace(lower(coalesce({c}, '')), 'ß', 'ss'), '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g')"
+_BAG = f"array_to_string(list_sort(string_split({_L}, '')), '')"
+_USABLE = r"""try_cast(regexp_extract("rank", '^[^\p{L}\p{N}\-−–]*([0-9]+)(?:\.0+)?[^\p{L}\p{N}\-−–]*$', 1) AS INTEGER)"""
+_DATE = r"""regexp_replace(regexp_extract(chart_date, '([0-9]{1,2})[^0-9]+([0-9]{1,2})[^0-9]+([0-9]{4}|[0-9]{2})'), '^([0-9]{1,2})[^0-9]+([0-9]{1,2})[^0-9]+([0-9]+)$', '\3-\2-\1')"""
+P4_SQL = f"""WITH r AS (SELECT row_id, market, {_DATE} d, {_USABLE} k, {_BAG.format(c='song')} s, {_BAG.format(c='artist')} a FROM chart_template),
+g AS (SELECT row_id AS copy_id, min(row_id) OVER (PARTITION BY market, d, k, least(s, a), greatest(s, a)) AS keep_id FROM r WHERE market IS NOT NULL AND d <> '' AND k BETWEEN 1 AND 100 AND (s <> '' OR a <> ''))
+SELECT keep_id, copy_id FROM g WHERE keep_id < copy_id"""
+
+SQL: dict[str, str] = {"p4_found": P4_SQL}
