@@ -231,7 +231,7 @@ def flag_spikes(df: DataFrame, times: float = 5.0, least_run: int = 4, floor: fl
     log = lambda c: F.log(F.greatest(c, F.lit(0.5)))
     move = {f: F.abs(log(F.col(f"v_{f}")) - F.lag(log(F.coalesce(f"x_{f}", f"v_{f}"))).over(along)) for f in LIMITS}
     moves = weeks.select("market", *[m.alias(f"d_{f}") for f, m in move.items()])
-    markets = moves.groupBy(F.col("market").alias("k")).agg(*[F.greatest(F.coalesce(1.4826 * F.percentile_approx(f"d_{f}", 0.5, 1000), F.lit(0.1)), F.lit(LEAST_SCALE)).alias(f"s_{f}") for f in LIMITS])
+    markets = moves.groupBy(F.col("market").alias("k")).agg(*[F.greatest(F.coalesce(1.4826 * F.percentile_approx(f"d_{f}", 0.5), F.lit(0.1)), F.lit(LEAST_SCALE)).alias(f"s_{f}") for f in LIMITS])
     scored = score_weeks(weeks.sortWithinPartitions("market", "block", "song", "day"))
     may = F.lit(False)
     for f in LIMITS:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartweave.operators.fill import fill_chart_gaps, missing_cells
+from chartweave.operators.fill import FIELDS, fill_chart_gaps, missing_cells
 from chartweave.operators.records import load_records
-from chartweave.operators.spikes import flag_spikes
+from chartweave.operators.spikes import LIMITS, flag_spikes
 from chartweave.operators.units import scaled_cells, unify_units
 from chartweave.session import table
 
@@ -48,4 +48,49 @@ def p7_flagged(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p2_found, p2_valid, p2_failed, p5_found, p5_counts, p7_found, p7_flagged)}
-SQL: dict[str, str] = {}
+
+_USABLE = r"""coalesce(try_cast(regexp_extract("{f}", '^[^\p{{L}}\p{{N}}\-−–]*([0-9]+)(?:\.0+)?[^\p{{L}}\p{{N}}\-−–]*$', 1) AS INTEGER) BETWEEN 1 AND {hi}, false)"""
+P1_SQL = " UNION ALL ".join(f"SELECT row_id, '{f}' AS field FROM chart_template WHERE NOT {_USABLE.format(f=f, hi=hi)}" for f, hi in FIELDS.items())
+
+_F = '(?:"(?:[^"]|"")*"|[^",]*)'
+P2_SQL = rf"""WITH l AS (SELECT line_id, regexp_replace(regexp_replace(raw_line, '^\x{{FEFF}}', ''), '\r$', '') t FROM raw_lines WHERE raw_line IS NOT NULL),
+d AS (SELECT * FROM l WHERE regexp_matches(t, '\S') AND NOT regexp_matches(t, '(?i)^\s*"?\s*chart_date\s*"?\s*,\s*"?\s*rank\s*"?\s*(,|$)')),
+f AS (SELECT *, regexp_extract(t, '(?s)^{_F},({_F}),({_F})(?:,|$)', 1) a, regexp_extract(t, '(?s)^{_F},({_F}),({_F})(?:,|$)', 2) b FROM d),
+u AS (SELECT *, regexp_replace(CASE WHEN starts_with(a, '"') THEN replace(substr(a, 2, length(a) - 2), '""', '"') ELSE a END, '^[\s\x{{A0}}]+|[\s\x{{A0}}]+$', '', 'g') r,
+    regexp_replace(CASE WHEN starts_with(b, '"') THEN replace(substr(b, 2, length(b) - 2), '""', '"') ELSE b END, '^[\s\x{{A0}}]+|[\s\x{{A0}}]+$', '', 'g') c FROM f),
+x AS (SELECT line_id, CASE WHEN NOT regexp_full_match(t, '(?s){_F}(?:,{_F})*') THEN 'quoting' WHEN NOT regexp_full_match(t, '(?s){_F}(?:,{_F}){{15}}') THEN 'columns'
+    WHEN NOT (regexp_full_match(r, '0*([1-9][0-9]?|100)') AND regexp_full_match(c, '(?i)(|new|re|[+-]?[0-9]{{1,2}})')) THEN 'value' END reason FROM u)
+SELECT line_id, reason FROM x WHERE reason IS NOT NULL"""
+
+P5_SQL = r"""WITH c AS (SELECT src_file, lower(replace(CASE WHEN contains(caption, 'except') THEN split_part(caption, 'except', 2) ELSE regexp_replace(caption, '(\. Other|, the rest).*$', '') END, 'units of', '')) head
+    FROM chart_captions WHERE regexp_matches(caption, 'Note:|scan ok|Weekly table|except|the rest as|not scaled')),
+x AS (SELECT raw_id, src_file, 'sales' field, sales cell FROM chart_raw UNION ALL SELECT raw_id, src_file, 'streams', streams FROM chart_raw UNION ALL SELECT raw_id, src_file, 'airplay', airplay FROM chart_raw UNION ALL SELECT raw_id, src_file, 'units', units FROM chart_raw)
+SELECT raw_id, field FROM x LEFT JOIN c USING (src_file) WHERE regexp_matches(cell, '[0-9]') AND (coalesce(contains(head, field), false)
+    OR regexp_matches(regexp_replace(cell, 'copies|plays|sold|units|u\.|streams|listeners|aud\.', '', 'g'), '[^0-9.,''\s\x{A0}]'))"""
+
+_LETTERS = r"regexp_replace(replace(lower(coalesce({c}, '')), 'ß', 'ss'), '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g')"
+_DAY = r"""try_cast(CASE WHEN length(regexp_extract(chart_date, '([0-9]{1,2})[^0-9]+([0-9]{1,2})[^0-9]+([0-9]{4}|[0-9]{2})', 3)) = 4 THEN '' ELSE '20' END || regexp_replace(regexp_extract(chart_date, '([0-9]{1,2})[^0-9]+([0-9]{1,2})[^0-9]+([0-9]{4}|[0-9]{2})'), '^([0-9]{1,2})[^0-9]+([0-9]{1,2})[^0-9]+([0-9]+)$', '\3-\2-\1') AS DATE)"""
+
+
+def _p7_sql() -> str:
+    song = f"array_to_string(list_sort(string_split({_LETTERS.format(c='song')} || {_LETTERS.format(c='artist')}, '')), '')"
+    parts = []
+    for f, (low, high) in LIMITS.items():
+        number = rf"""try_cast(regexp_replace({f}, '[\s\x{{A0}},"'']', '', 'g') AS DOUBLE)"""
+        parts.append(
+            f"""SELECT row_id, '{f}' AS field FROM (WITH r AS (SELECT row_id, market, {song} s, {_DAY} d, {number} v FROM chart_template),
+            ok AS (SELECT *, v BETWEEN {low} AND {high} AND v = floor(v) fine FROM r),
+            w AS (SELECT market, s, d, min(v) FILTER (fine) v FROM ok WHERE s <> '' AND d IS NOT NULL GROUP BY 1, 2, 3),
+            m AS (SELECT market, greatest(coalesce(1.4826 * quantile_disc(abs(x), 0.5), 0.1), 0.02) sc FROM (SELECT market, ln(v) - lag(ln(v)) OVER (PARTITION BY market, s ORDER BY d) x FROM (SELECT market, s, d, CASE WHEN v IS NOT NULL THEN greatest(v, 0.5) END v FROM w)) GROUP BY market),
+            k AS (SELECT *, ln(greatest(v, 0.5)) l FROM w WHERE v IS NOT NULL),
+            n AS (SELECT *, lag(v) OVER a bv, lag(d) OVER a bd, lag(l) OVER a b1, lag(l, 2) OVER a b2, lead(l) OVER a a1, lead(l, 2) OVER a a2 FROM k WINDOW a AS (PARTITION BY market, s ORDER BY d)),
+            e AS (SELECT *, CASE WHEN b1 IS NULL THEN a2 WHEN a1 IS NULL THEN b2 ELSE b1 END o, sum(CASE WHEN bv = v AND d - bd = 7 THEN 0 ELSE 1 END) OVER (PARTITION BY market, s ORDER BY d) run FROM n),
+            g AS (SELECT *, count(*) OVER (PARTITION BY market, s, run) c, greatest(b1, a1, o) hi, least(b1, a1, o) lo FROM e)
+            SELECT row_id FROM ok WHERE v IS NOT NULL AND NOT fine UNION
+            SELECT row_id FROM ok JOIN g ON ok.market = g.market AND ok.s = g.s AND ok.d = g.d JOIN m ON m.market = g.market
+            WHERE ok.fine AND (ln(greatest(ok.v, 0.5)) > hi + 5 * sc OR ln(greatest(ok.v, 0.5)) < lo - 5 * sc OR c >= 4))"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+SQL: dict[str, str] = {"p1_found": P1_SQL, "p2_found": P2_SQL, "p5_found": P5_SQL, "p7_found": _p7_sql()}
