@@ -164,10 +164,11 @@ def encode_corpus(docs: DataFrame, tokenizer: str = f"{TOKENIZERS}/byte_bpe_50k.
     where the pre-tokenizer might not split are repaired by encoding across them until the
     pieces agree again (see repair).
 
-    Plan: the shuffled text is that of distinct chunks only as far as a task can tell (map-side
-    aggregation), then 2-byte ids. A chunk that a third of all documents share is one row on
-    the encoded side; the other side of that join is 40 bytes a chunk and is split by AQE. The
-    ids of one document meet in one row, as the result demands.
+    Plan: the shuffled text is that of distinct chunks as far as a task can tell (map-side
+    aggregation). Chunks then meet the list of their places, 40 bytes each, by a merge join,
+    whose skewed side AQE splits: a chunk that a third of all documents share is encoded once
+    a split. The 2-byte ids are shuffled once, to their document; the ids of one document meet
+    in one row, as the result demands.
     """
     if tokenizer.endswith(".json"):
         raise ValueError("the ranks file is needed, not the JSON form")
@@ -187,11 +188,10 @@ def encode_corpus(docs: DataFrame, tokenizer: str = f"{TOKENIZERS}/byte_bpe_50k.
                 before = False
                 for i, (chunk, join) in enumerate(pieces(t)):
                     h = xxhash.xxh3_128_digest(chunk)
-                    uid.append(u), doc.append(d), seq.append(i), dirty.append(join)
+                    uid.append(u), doc.append(d), seq.append(i), dirty.append(join), edge.append(join or before)
                     h1.append(int.from_bytes(h[:8], "big", signed=True)), h2.append(int.from_bytes(h[8:], "big", signed=True))
-                    edge.append(chunk.decode() if join or before else None)
                     before = join
-            kinds = (pa.int64(), b.schema.field(1).type, pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.string())
+            kinds = (pa.int64(), b.schema.field(1).type, pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((uid, doc, seq, h1, h2, dirty, edge), kinds)], names=["uid", "doc_id", "seq", "h1", "h2", "dirty", "edge"])
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,9 +210,16 @@ def encode_corpus(docs: DataFrame, tokenizer: str = f"{TOKENIZERS}/byte_bpe_50k.
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = byte_bpe(tokenizer)
+        last, ids = None, b""  # the places of a chunk come one after the other
         for b in batches:
-            ids = [np.array(enc.encode_ordinary(t), np.uint16).tobytes() for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], names=["h1", "h2", "ids"])
+            out, edge = [], []
+            for h1, h2, flag, chunk in zip(b.column("h1").to_pylist(), b.column("h2").to_pylist(), b.column("edge").to_pylist(), b.column("chunk").to_pylist()):
+                if last != (h1, h2):
+                    last, ids = (h1, h2), np.array(enc.encode_ordinary(chunk), np.uint16).tobytes()
+                out.append(ids)
+                edge.append(chunk if flag else None)
+            kept = [b.column(c) for c in ("uid", "doc_id", "seq", "dirty")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(edge, pa.string()), pa.array(out, pa.binary())], names=["uid", "doc_id", "seq", "dirty", "edge", "ids"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, lengths = byte_bpe(tokenizer), token_lengths(tokenizer)
@@ -229,10 +236,12 @@ def encode_corpus(docs: DataFrame, tokenizer: str = f"{TOKENIZERS}/byte_bpe_50k.
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    where = keyed.mapInArrow(places, f"uid bigint, doc_id {kind}, seq int, h1 bigint, h2 bigint, dirty boolean, edge string")
+    where = keyed.mapInArrow(places, f"uid bigint, doc_id {kind}, seq int, h1 bigint, h2 bigint, dirty boolean, edge boolean")
     distinct = keyed.select("text").mapInArrow(texts, "h1 bigint, h2 bigint, chunk string").groupBy("h1", "h2").agg(F.any_value("chunk").alias("chunk"))
-    coded = distinct.mapInArrow(encode, "h1 bigint, h2 bigint, ids binary")
-    whole = where.join(coded, ["h1", "h2"], "left").groupBy("uid").agg(F.any_value("doc_id").alias("doc_id"), F.collect_list(F.struct("seq", "dirty", "edge", "ids")).alias("parts"))
+    # the merge join leaves the places of a chunk together and the texts where the aggregate put them
+    placed = where.join(distinct.hint("merge"), ["h1", "h2"])
+    coded = placed.mapInArrow(encode, f"uid bigint, doc_id {kind}, seq int, dirty boolean, edge string, ids binary")
+    whole = coded.groupBy("uid").agg(F.any_value("doc_id").alias("doc_id"), F.collect_list(F.struct("seq", "dirty", "edge", "ids")).alias("parts"))
     return whole.select("doc_id", "parts").mapInArrow(assemble, f"doc_id {kind}, ids array<int>")
 
 
