@@ -485,7 +485,7 @@ def files_to_fetch(spark: SparkSession, d: str) -> DataFrame:
     return posts.new_files(posts.image_files(table(spark, d, "posts")), present).select("id", "file_name")
 
 
-@query(f"SELECT max(posted) newest, min(posted) oldest, arg_min(id, posted) oldest_id FROM (SELECT id, {_POSTED} posted FROM posts) WHERE posted >= TIMESTAMP '2023-08-10'")
+@query(f"SELECT max(posted) newest, min(posted) oldest, arg_min(id, {{'p': posted, 'i': id}}) oldest_id FROM (SELECT id, {_POSTED} posted FROM posts) WHERE posted >= TIMESTAMP '2023-08-10'")
 def post_cursor(spark: SparkSession, d: str) -> DataFrame:
     c = posts.next_cursor(table(spark, d, "posts"))
     return c.select(F.col("newest").cast("timestamp_ntz").alias("newest"), F.col("oldest").cast("timestamp_ntz").alias("oldest"), "oldest_id")

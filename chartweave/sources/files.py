@@ -72,7 +72,7 @@ def recognize(images: DataFrame, load: Callable[[], Callable[[bytes], list[dict]
 
 def write_ordered_csv(df: DataFrame, path: str, *order: Column) -> None:
     """One csv file with header, rows in the order given, without helper columns."""
-    df.repartition(1).sortWithinPartitions(*order).write.mode("overwrite").option("header", True).csv(path)
+    df.repartition(1).sortWithinPartitions(*order).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_xlsx(df: DataFrame, path: str, most: int = 1_048_575) -> bool:

@@ -42,7 +42,7 @@ def new_files(files: DataFrame, present: DataFrame) -> DataFrame:
 def next_cursor(posts: DataFrame) -> DataFrame:
     """One row: the newest and the oldest time read and the id of the oldest post, from which a backward search goes on."""
     p = recent_posts(posts)
-    return p.agg(F.max("posted").alias("newest"), F.min("posted").alias("oldest"), F.min_by("id", "posted").alias("oldest_id"))
+    return p.agg(F.max("posted").alias("newest"), F.min("posted").alias("oldest"), F.min_by("id", F.struct("posted", "id")).alias("oldest_id"))
 
 
 class PostSource(DataSource):
