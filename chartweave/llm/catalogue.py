@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartweave.llm.typed import edits, fold, fold_text, skeleton
+from chartweave.llm.typed import edits, fold_text, skeleton
 from chartweave.session import cut
 
 NONE = "NONE"
@@ -26,11 +26,20 @@ LEET = str.maketrans("013457@$", "oieastas")
 TAIL_WORDS = ("lyrics", "single", "official", "audio", "video")
 
 
-def grams(*texts: Column) -> Column:
+def _grams(a: pd.Series, b: pd.Series) -> pd.Series:
+    out = []
+    for pair in zip(a, b):
+        found: set[str] = set()
+        for t in pair:
+            s = re.sub(r"[\W_]+", "", fold_text(t or ""))
+            found |= {s[i : i + 3] for i in range(len(s) - 2)} if len(s) > 2 else {s} - {""}
+        out.append(sorted(found))
+    return pd.Series(out)
+
+
+def grams(a: Column, b: Column) -> Column:
     """Distinct character trigrams of the letters of each text (folded); texts under three letters count as one."""
-    one = lambda s: F.when(F.length(s) < 3, F.array(s)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - 2, F.lit(1))), lambda i: F.substring(s, i, F.lit(3))))
-    letters = [F.regexp_replace(fold(t), r"[^\p{L}\p{N}]+", "") for t in texts]
-    return F.array_distinct(F.concat(*[F.filter(one(s), lambda g: F.length(g) > 0) for s in letters]))
+    return F.pandas_udf(_grams, "array<string>")(a, b)
 
 
 def similarity_pairs(left: DataFrame, right: DataFrame, at_least: float) -> DataFrame:
@@ -267,7 +276,7 @@ def map_entries(entries: DataFrame, catalogue: DataFrame, at_least: float = 0.3)
     known = catalogue.select("recording_id", "title", "artist_credit").filter("recording_id is not null and title is not null and artist_credit is not null").distinct()
     alone = F.split(F.regexp_replace("artist_credit", GUEST, ""), r"\s*[&;/]\s*|,\s+")[0]
     forms = F.array_distinct(F.array(F.col("artist_credit"), alone))
-    right = known.select("recording_id", F.posexplode(F.transform(forms, lambda f: grams(F.col("title"), f))).alias("form", "tokens")).select(F.struct("recording_id", "form").alias("id"), "tokens").filter(F.size("tokens") > 0)
+    right = known.select("recording_id", "title", F.posexplode(forms).alias("form", "credit")).select(F.struct("recording_id", "form").alias("id"), grams(F.col("title"), F.col("credit")).alias("tokens")).filter(F.size("tokens") > 0)
     pairs = similarity_pairs(left, right, at_least).select(F.col("l.id1").alias("id1"), F.col("l.id2").alias("id2"), F.col("r.recording_id").alias("recording_id"), "jaccard")
     pairs = pairs.groupBy("id1", "id2", "recording_id").agg(F.max("jaccard").alias("jaccard"))
     pairs = pairs.join(distinct, ["id1", "id2"]).join(known, "recording_id")
