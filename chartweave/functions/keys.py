@@ -35,7 +35,11 @@ def _bag_sums(texts: pa.Array, seed: int) -> np.ndarray:
     # a digit counts with its place in its number (up to the eighth), so that 13 isn't 31
     digit = (raw >= 48) & (raw <= 57)
     place = np.arange(len(raw))
-    number_at = place - np.maximum.accumulate(np.where(digit, -1, place)) if len(raw) else place
+    anchor = np.where(digit, -1, place)
+    first = at[:-1] - at[0]
+    first = first[first < len(raw)]
+    anchor[first] = np.where(digit[first], first - 1, first)  # a number ends with its text
+    number_at = place - np.maximum.accumulate(anchor)
     which = np.where(digit, raw + 256 * np.minimum(number_at, 8), raw.astype(np.int64))
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(numbers[which], out=sums[1:])

@@ -72,6 +72,8 @@ def test_hashes(spark):
     assert h[0] == h[1] != h[2]
     bags = apply(spark, keys.bag_hash, ["abc", "cab", "abcc", "", None, "é"])
     assert bags[0] == bags[1] != bags[2] and bags[3] == bags[4] == 0 and len(set(bags)) == 4
+    a, b, c, d, e = apply(spark, keys.bag_hash, ["x13", "13x", "x31", "13", "5x13"])
+    assert a == b != c and len({a, c, d, e}) == 4
 
 
 def test_similarity(spark):
