@@ -228,14 +228,15 @@ def flag_spikes(df: DataFrame, times: float = 5.0, least_run: int = 4, floor: fl
     readings = [c for f in LIMITS for c in (F.col(f"v_{f}"), F.when(F.col(f"m_{f}") > F.col(f"v_{f}"), F.col(f"m_{f}")).alias(f"x_{f}"))]
     weeks = weeks.select("market", block.alias("block"), "song", "day", *readings).repartition("market", "block")
     along = Window.partitionBy("market", "block", "song").orderBy("day")
-    log = lambda c: F.log(F.greatest(c, F.lit(0.5)))
-    move = {f: F.abs(log(F.col(f"v_{f}")) - F.lag(log(F.coalesce(f"x_{f}", f"v_{f}"))).over(along)) for f in LIMITS}
+    # greatest() passes over nulls, a missing reading must stay one
+    log = lambda c: F.when(c.isNotNull(), F.log(F.greatest(c, F.lit(0.5))))
+    move = {f: F.abs(log(F.col(f"v_{f}")) - F.lag(log(F.coalesce(F.col(f"x_{f}"), F.col(f"v_{f}")))).over(along)) for f in LIMITS}
     moves = weeks.select("market", *[m.alias(f"d_{f}") for f, m in move.items()])
     markets = moves.groupBy(F.col("market").alias("k")).agg(*[F.greatest(F.coalesce(1.4826 * F.percentile_approx(f"d_{f}", 0.5), F.lit(0.1)), F.lit(LEAST_SCALE)).alias(f"s_{f}") for f in LIMITS])
     scored = score_weeks(weeks.sortWithinPartitions("market", "block", "song", "day"))
     may = F.lit(False)
     for f in LIMITS:
-        top, bottom = log(F.coalesce(f"x_{f}", f"v_{f}")) - F.col(f"high_{f}"), F.col(f"low_{f}") - log(F.col(f"v_{f}"))
+        top, bottom = log(F.coalesce(F.col(f"x_{f}"), F.col(f"v_{f}"))) - F.col(f"high_{f}"), F.col(f"low_{f}") - log(F.col(f"v_{f}"))
         odd = (top > times * LEAST_SCALE) | (bottom > times * LEAST_SCALE) | (F.col(f"run_{f}") >= least_run)
         may = may | F.coalesce(odd & (F.col(f"score_{f}") >= floor), F.lit(False))
     scored = scored.filter(may).join(markets, F.col("market").eqNullSafe(F.col("k"))).drop("k")
