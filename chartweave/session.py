@@ -18,14 +18,16 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder.
 
-    The cluster names it in spark.checkpoint.dir; only where that is unset (tests,
-    a laptop) and no folder was set by hand, a temporary folder is used.
+    The cluster names it in spark.checkpoint.dir; only in local mode (tests, a laptop), where
+    that is unset and no folder was set by hand, a temporary folder is used.
     """
     sc = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "chartweave-checkpoints"))
     return sc._jsc.sc().getCheckpointDir().get()
 
