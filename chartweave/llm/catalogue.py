@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -42,6 +42,22 @@ def grams(a: Column, b: Column) -> Column:
     return F.pandas_udf(_grams, "array<string>")(a, b)
 
 
+def _bones(a: pd.Series, b: pd.Series) -> pd.Series:
+    out = []
+    for pair in zip(a, b):
+        found: set[str] = set()
+        for t in pair:
+            s = skeleton(_plain(t or "").replace(" ", ""))
+            found |= {s[i : i + 3] for i in range(len(s) - 2)} if len(s) > 2 else {s} - {""}
+        out.append(sorted(found))
+    return pd.Series(out)
+
+
+def bones(a: Column, b: Column) -> Column:
+    """Distinct trigrams of the consonants and digits of each text as _plain reads it; texts under three of them count as one."""
+    return F.pandas_udf(_bones, "array<string>")(a, b)
+
+
 def similarity_pairs(left: DataFrame, right: DataFrame, at_least: float) -> DataFrame:
     """(l, r, jaccard) of all pairs of left (id, tokens) and right (id, tokens) with a Jaccard similarity of at_least or more.
 
@@ -252,12 +268,22 @@ def entry_cost(song: str, artist: str, title: str, credit: str) -> float | None:
     return best
 
 
-def map_entries(entries: DataFrame, catalogue: DataFrame, at_least: float = 0.3) -> DataFrame:
+def _jaccard(song: str, artist: str, title: str, credits: Iterable[str]) -> float:
+    """The highest Jaccard similarity of an entry's trigrams with those of the title and any of the credits."""
+    a = set(_grams([song], [artist])[0])
+    sets = [set(_grams([title], [c])[0]) for c in credits]
+    return max(len(a & b) / max(1, len(a | b)) for b in sets)
+
+
+def map_entries(entries: DataFrame, catalogue: DataFrame, at_least: float = 0.3, bones_at_least: float = 0.25) -> DataFrame:
     """(entry_id, recording_id, jaccard, cost): for each row of `entries` the recording of `catalogue` meant, or 'NONE'.
 
-    Candidates come from a prefix-filter set-similarity join on character trigrams of song
-    and artist together (so places may be changed), with each recording also under its
-    credit's first name, since guests may be left out; their Jaccard similarity is exact.
+    Candidates come from two prefix-filter set-similarity joins over song and artist together
+    (so places may be changed): on character trigrams, and on trigrams of the consonants, since
+    dropped vowels beside an initial, a slip or a surname alone leave few of the former. Each
+    recording is also under its credit's first name, since guests may be left out. The
+    jaccard given is that of the character trigrams, exact also for pairs of the second join.
+    A recording that fits but is below both thresholds is not found.
     Of these the one whose title and credit both fit (typing errors word by word, initials,
     'Last, First', dropped vowels or ends, version marks) at the least cost is kept; ties go
     to the higher Jaccard similarity, then the smaller recording_id.
@@ -272,12 +298,17 @@ def map_entries(entries: DataFrame, catalogue: DataFrame, at_least: float = 0.3)
     given = entries.select("entry_id", F.trim(F.coalesce("song", F.lit(""))).alias("song"), F.trim(F.coalesce("artist", F.lit(""))).alias("artist"))
     distinct = given.filter((F.length("song") > 0) & (F.length("artist") > 0)).select("song", "artist").distinct()
     distinct = cut(distinct.select(F.xxhash64("song", "artist").alias("id1"), F.xxhash64("artist", "song", F.lit(1)).alias("id2"), "song", "artist"))
-    left = distinct.select(F.struct("id1", "id2").alias("id"), grams(F.col("song"), F.col("artist")).alias("tokens")).filter(F.size("tokens") > 0)
     known = catalogue.select("recording_id", "title", "artist_credit").filter("recording_id is not null and title is not null and artist_credit is not null").distinct()
     alone = F.split(F.regexp_replace("artist_credit", GUEST, ""), r"\s*[&;/]\s*|,\s+")[0]
-    forms = F.array_distinct(F.array(F.col("artist_credit"), alone))
-    right = known.select("recording_id", "title", F.posexplode(forms).alias("form", "credit")).select(F.struct("recording_id", "form").alias("id"), grams(F.col("title"), F.col("credit")).alias("tokens")).filter(F.size("tokens") > 0)
-    pairs = similarity_pairs(left, right, at_least).select(F.col("l.id1").alias("id1"), F.col("l.id2").alias("id2"), F.col("r.recording_id").alias("recording_id"), "jaccard")
+    known = known.withColumn("forms", F.array_distinct(F.array(F.col("artist_credit"), alone)))
+    formed = known.select("recording_id", "title", F.posexplode("forms").alias("form", "credit"))
+
+    def near(tokens: Callable[[Column, Column], Column], t: float) -> DataFrame:
+        left = distinct.select(F.struct("id1", "id2").alias("id"), tokens(F.col("song"), F.col("artist")).alias("tokens")).filter(F.size("tokens") > 0)
+        right = formed.select(F.struct("recording_id", "form").alias("id"), tokens(F.col("title"), F.col("credit")).alias("tokens")).filter(F.size("tokens") > 0)
+        return similarity_pairs(left, right, t).select(F.col("l.id1").alias("id1"), F.col("l.id2").alias("id2"), F.col("r.recording_id").alias("recording_id"), "jaccard")
+
+    pairs = near(grams, at_least).unionByName(near(bones, bones_at_least).withColumn("jaccard", F.lit(None).cast("double")))
     pairs = pairs.groupBy("id1", "id2", "recording_id").agg(F.max("jaccard").alias("jaccard"))
     pairs = pairs.join(distinct, ["id1", "id2"]).join(known, "recording_id")
 
@@ -285,7 +316,10 @@ def map_entries(entries: DataFrame, catalogue: DataFrame, at_least: float = 0.3)
         for p in batches:
             p["cost"] = [entry_cost(*x) for x in zip(p["song"], p["artist"], p["title"], p["artist_credit"])]
             p["cost"] = p["cost"].astype(float)
-            yield p.loc[p["cost"].notna(), ["song", "artist", "recording_id", "jaccard", "cost"]]
+            p = p[p["cost"].notna()].copy()
+            p["jaccard"] = [_jaccard(s, a, t, f) if pd.isna(j) else j for s, a, t, f, j in zip(p["song"], p["artist"], p["title"], p["forms"], p["jaccard"])]
+            p["jaccard"] = p["jaccard"].astype(float)
+            yield p[["song", "artist", "recording_id", "jaccard", "cost"]]
 
     fits = pairs.mapInPandas(fit, "song string, artist string, recording_id string, jaccard double, cost double")
     best = fits.groupBy("song", "artist").agg(F.min(F.struct("cost", (-F.col("jaccard")).alias("far"), "recording_id")).alias("b"))

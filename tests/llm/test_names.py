@@ -128,3 +128,26 @@ def test_components(spark):
 
 def test_folding():
     assert fold_text("Été Straße Øl") == "ete strasse ol"
+
+
+BARE = [
+    ("c1", "Pale Mirror", "Ingrid Buholow"), ("c2", "The Outpost That Folds", "Zebrex"), ("c3", "41 Young Whistles", "Richard Zizadel"), ("c4", "Scarlet Zeppelin (Chase Me)", "Otto Megiini"),
+    ("c5", "Broken Ocean", "Fiona Brogock"), ("c6", "Junction and Doorway", "BivamX, Bela Baziov"), ("c7", "Nettle and Postcard", "Celia Hadix"), ("c8", "Pale Lantern", "Ida Buholow"),
+]
+BARE_ENTRIES = [
+    ("Ple Mrirr", "I. Buholow"), ("The  Otpst Tht Flds", "Zberex"), ("41 Yng Whstls", "R. Zizaduel"), ("Scrlt  Zpplln (Chse Me)", "Otto Megiini"), ("Br0ken Ocena", "F. Brgoock"),
+    ("BicamX", "Jnctn and Drwy"), ("Nettle & Potscaerd", "Hadix Celia"), ("Pale Mirror", "Ingrid Buholow"), ("Ple Lntrn", "Zebrex"), ("Aei", "Ou"),
+]
+
+
+def test_mapping_loses_no_fit(spark):
+    cat = spark.createDataFrame(BARE, "recording_id string, title string, artist_credit string")
+    e = spark.createDataFrame([(i, s, a) for i, (s, a) in enumerate(BARE_ENTRIES)], "entry_id long, song string, artist string")
+    want = {}
+    for i, (s, a) in enumerate(BARE_ENTRIES):
+        fits = [(c, r) for r, t, k in BARE if (c := catalogue.entry_cost(s, a, t, k)) is not None]
+        want[i] = min(fits)[1] if fits else "NONE"
+    rows = catalogue.map_entries(e, cat).collect()
+    assert {r["entry_id"]: r["recording_id"] for r in rows} == want and list(want.values()).count("NONE") == 2
+    far = next(r["jaccard"] for r in rows if r["entry_id"] == 5)
+    assert far == pytest.approx(catalogue._jaccard(*BARE_ENTRIES[5], *BARE[5][1:2], ["BivamX, Bela Baziov", "BivamX"])) and far < 0.3
