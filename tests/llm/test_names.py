@@ -151,3 +151,9 @@ def test_mapping_loses_no_fit(spark):
     assert {r["entry_id"]: r["recording_id"] for r in rows} == want and list(want.values()).count("NONE") == 2
     far = next(r["jaccard"] for r in rows if r["entry_id"] == 5)
     assert far == pytest.approx(catalogue._jaccard(*BARE_ENTRIES[5], *BARE[5][1:2], ["BivamX, Bela Baziov", "BivamX"])) and far < 0.3
+
+
+def test_acts_meet_by_short_ends_of_songs(spark):
+    rows = [(1, "Steefan Bunostoon", "Shke the Canyon"), (2, "Stefan Bunoston", "Shake the Canyon"), (3, "Vera Luwis", "Shake the Canyon")]
+    df = spark.createDataFrame(rows, "name_id long, artist string, song string")
+    assert {r["name_id"]: r["act"] for r in names.resolve_acts(df).collect()} == {1: 1, 2: 1, 3: 3}
