@@ -157,3 +157,25 @@ def test_acts_meet_by_short_ends_of_songs(spark):
     rows = [(1, "Steefan Bunostoon", "Shke the Canyon"), (2, "Stefan Bunoston", "Shake the Canyon"), (3, "Vera Luwis", "Shake the Canyon")]
     df = spark.createDataFrame(rows, "name_id long, artist string, song string")
     assert {r["name_id"]: r["act"] for r in names.resolve_acts(df).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_near_songs_share_a_like(spark):
+    rng = random.Random(5)
+    base = ["".join(rng.choice("abcdeé") for _ in range(n)) for n in (6, 7, 8, 9, 13, 22, 23, 24, 25, 26, 27, 40)]
+    songs = set(base)
+    for s in base * 12:
+        for _ in range(rng.randint(1, 3)):
+            i = rng.randrange(len(s) - 1)
+            s = rng.choice([s[:i] + s[i + 1 :], s[:i] + rng.choice("abé") + s[i:], s[:i] + "d" + s[i + 1 :], s[:i] + s[i + 1] + s[i] + s[i + 2 :]])
+        songs.add(s)
+    got = {r["song"]: set(r["likes"]) for r in names.near_songs(spark.createDataFrame([(s,) for s in songs], "song string")).collect()}
+    near = [(a, b) for a, b in itertools.combinations(sorted(songs), 2) if max(len(a), len(b)) >= 8 and edits(a, b, 2) <= 2]
+    assert len(near) > 100 and all(a in got[a] & got[b] for a, b in near)
+    assert {(a, b) for b in got for a in got[b] if a != b} == set(near)
+    assert len(names._song_marks("x" * 20_000)) < 50
+
+
+def test_acts_meet_by_songs_with_slips_at_both_ends(spark):
+    rows = [(1, "Haa Gostqby", "blanet for paboloow"), (2, "Hana Gostaby", "Planet for Pabolow"), (3, "Haha Gostuby", "Planet of Others"), (4, "Wu Ed", "Any"), (5, "Eddie Wu", "Other")]
+    df = spark.createDataFrame(rows, "name_id long, artist string, song string")
+    assert {r["name_id"]: r["act"] for r in names.resolve_acts(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
