@@ -6,6 +6,7 @@ import html
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -82,6 +83,17 @@ def text_cells(text: str) -> list[str]:
     return [text]
 
 
+@lru_cache(100_000)
+def _short_kind(word: str) -> str:
+    w = word.strip(".,;:!?")
+    return "latin" if w.lower() in LATIN else "mash" if MASH.fullmatch(w) else ""
+
+
+def _word_kind(word: str) -> str:
+    """'latin' for a word of the pseudo-Latin filler, 'mash' for keyboard mash, else ''."""
+    return _short_kind(word) if len(word) <= 40 else _short_kind.__wrapped__(word)
+
+
 def judge_cell(cell: str, page: bool) -> str | None:
     """'placeholder', 'filler', 'error' or 'script' if such residue stands as the cell's content, 'weak' if only its form hints at it.
 
@@ -97,13 +109,11 @@ def judge_cell(cell: str, page: bool) -> str | None:
     words = cell.split()
     if not words:
         return None
-    latin = sum(w.strip(".,;:!?").lower() in LATIN for w in words[:400])
-    some = min(len(words), 400)
-    if latin >= 5 and latin >= 0.6 * some or some >= 3 and sum(MASH.fullmatch(w.strip(".,;:!?")) is not None for w in words[:400]) >= 0.6 * some:
-        # the whole cell, not its first words only
-        full = sum(w.strip(".,;:!?").lower() in LATIN or MASH.fullmatch(w.strip(".,;:!?")) is not None for w in words)
-        if full >= 0.5 * len(words):
-            return "filler"
+    # over all words: residue may stand behind any number of own words
+    kinds = [_word_kind(w) for w in words]
+    latin, mash = kinds.count("latin"), kinds.count("mash")
+    if (latin >= 5 or mash >= 2 and len(words) >= 3) and latin + mash >= 0.5 * len(words):
+        return "filler"
     title = False
     weak = WEAK_TITLE.fullmatch(cell.strip().split("\n", 1)[0]) is not None
     if not CUE.search(cell):

@@ -130,3 +130,13 @@ def test_duplicated_pages(spark):
 @pytest.mark.parametrize("text, n", [("# %% [markdown]\na\n# %% In[1]\nb\n# %% [markdown]\nc\n", 2), ("plain", 1), ('{"cells": [', 1), ("In [1]:\nx", 0)])
 def test_cells(text, n):
     assert len(residue.text_cells(text)) == n
+
+
+def test_filler_is_counted_over_the_whole_cell():
+    own = "we plot the mean of each station and compare both years ".split()
+    latin = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do ".split()
+    for n in (1, 20, 60):
+        assert residue.judge_cell(" ".join(own * n + latin * 9 * n), True) == "filler"
+        assert residue.judge_cell(" ".join(own * n + latin * (n * 11 // 10 + 1)), False) == "filler"
+        assert residue.judge_cell(" ".join(latin * n + own * 2 * n), True) != "filler"
+    assert residue.judge_cell("own " * 500 + "asdf qwerty " * 300, False) == "filler"
