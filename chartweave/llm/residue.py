@@ -64,7 +64,7 @@ SENTENCE = re.compile(r"(?<=[.!?。！？])[ \t]+|\n+")
 def text_cells(text: str) -> list[str]:
     """The text cells of a notebook in any of the three export styles; a text that is no notebook is one cell."""
     head = text.lstrip()[:200]
-    if head.startswith("{") and '"cells"' in head:
+    if head.startswith("{") and '"cells"' in text:  # metadata may come first
         try:
             cells = json.loads(text)["cells"]
             return ["".join(c.get("source") or "") for c in cells if c.get("cell_type") != "code"]

@@ -140,3 +140,13 @@ def test_filler_is_counted_over_the_whole_cell():
         assert residue.judge_cell(" ".join(own * n + latin * (n * 11 // 10 + 1)), False) == "filler"
         assert residue.judge_cell(" ".join(latin * n + own * 2 * n), True) != "filler"
     assert residue.judge_cell("own " * 500 + "asdf qwerty " * 300, False) == "filler"
+
+
+def test_notebook_with_metadata_first():
+    import json
+
+    cells = [{"cell_type": "markdown", "source": ["Some words\n", "of a cell"]}, {"cell_type": "code", "source": "x = 1"}, {"cell_type": "markdown", "source": "# {{title}}"}]
+    text = json.dumps({"metadata": {"kernel": "k" * 400}, "nbformat": 4, "cells": cells})
+    assert residue.text_cells(text) == ["Some words\nof a cell", "# {{title}}"]
+    broken = text[:-1]
+    assert residue.text_cells(broken) == [broken] and residue.text_cells('{"a": "cells"}') == ['{"a": "cells"}']
