@@ -54,6 +54,8 @@ TITLE = re.compile(
 )
 WEAK_TITLE = re.compile(r"[#*\s]*(?:error|oops|fehler|erreur|sorry|warning|notice|unavailable|attention)[.!\s]*", re.I)
 CUE = re.compile(rf"{FILLER.pattern}|{ERROR.pattern}|{SCRIPT.pattern}", re.I)
+#: Words up to which a whole text that is no notebook may be a low-information page in any wording.
+SHORT = 60
 PROMPT = re.compile(r"(?m)^(?:In|Out) ?\[[ \d*]*\]:")
 TRACE = re.compile(r"^\w*(?:Error|Exception|Warning)\b.*:", re.S)
 FENCE = re.compile(r"(?ms)^```.*?^```|^~~~.*?^~~~")
@@ -171,6 +173,10 @@ def residue_evidence(docs: DataFrame) -> DataFrame:
                 strong = next((v for v in verdicts if v and v != "weak"), None)
                 units: list[int] = []
                 if strong is None:
+                    # a short page in any wording counts as a whole; single sentences and cells of notebooks recur in good ones, too
+                    if page and verdicts[0] is None and len(text.split()) <= SHORT:
+                        whole = " ".join(re.sub(r"[\d#*]+|\b[0-9a-f]{8,}\b", "", TAG.sub("\n", text)).lower().split())
+                        units += [xxhash.xxh3_64_intdigest(f"page {whole}") - 2**63] if len(whole.split()) > 2 else []
                     for c, v in zip(cells, verdicts):
                         if v == "weak":
                             plain = re.sub(r"[\d#*]+|\b[0-9a-f]{8,}\b", "", TAG.sub("\n", c)).lower()
@@ -190,9 +196,10 @@ def find_residue(docs: DataFrame, hosts: int = 3) -> DataFrame:
 
     Reasons: 'placeholder' - an unfilled field as a line of a text cell; 'filler', 'error',
     'script' - at least half of a text cell is filler, an error page or a notice that scripts
-    are needed; 'duplicate' - a page or cell that only looks like one (markup or an error
+    are needed; 'duplicate' - a page or cell that only looks like one (markup, an error
     title), whose address shares no word with it and whose sentence stands the same way
-    under `hosts` or more hosts. Code, outputs, tracebacks, fenced blocks and words within a
+    under `hosts` or more hosts, or a whole text of at most 60 words in any wording that is no
+    notebook and, digits aside, stands under as many. Code, outputs, tracebacks, fenced blocks and words within a
     sentence of the notebook are no residue.
 
     Cases: null, empty and blank texts are none; a notebook whose JSON is broken is read as

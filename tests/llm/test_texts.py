@@ -150,3 +150,10 @@ def test_notebook_with_metadata_first():
     assert residue.text_cells(text) == ["Some words\nof a cell", "# {{title}}"]
     broken = text[:-1]
     assert residue.text_cells(broken) == [broken] and residue.text_cells('{"a": "cells"}') == ['{"a": "cells"}']
+
+
+def test_short_pages_of_any_wording(spark):
+    page = "The thing you wanted has gone elsewhere. Kindly ring the front desk."
+    rows = [(i, f"owner{i}/birds", "notes/storks.txt", page) for i in range(3)] + [(3, "owner3/desk", "front.txt", page), (4, "owner4/birds", "a.txt", "Only one place says exactly this here."), (5, "owner5/birds", "b.txt", page + " More words of its own." * 20)]
+    df = spark.createDataFrame(rows, "doc_id long, repo string, path string, text string")
+    assert {tuple(r) for r in residue.find_residue(df).collect()} == {(i, "duplicate") for i in range(3)}
