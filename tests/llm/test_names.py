@@ -179,3 +179,9 @@ def test_acts_meet_by_songs_with_slips_at_both_ends(spark):
     rows = [(1, "Haa Gostqby", "blanet for paboloow"), (2, "Hana Gostaby", "Planet for Pabolow"), (3, "Haha Gostuby", "Planet of Others"), (4, "Wu Ed", "Any"), (5, "Eddie Wu", "Other")]
     df = spark.createDataFrame(rows, "name_id long, artist string, song string")
     assert {r["name_id"]: r["act"] for r in names.resolve_acts(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
+
+
+def test_acts_reenter_with_rare_spellings(spark):
+    rows = [(1, "Robert Smith", "Inkwell"), (2, "ROBERT SMITH", "Inkwell"), (3, "Bob Smith", "Compass"), (4, "Barry Smith", "Lantern"), (5, "B. Smith", "Inkwell")]
+    df = spark.createDataFrame(rows, "name_id long, artist string, song string")
+    assert {r["name_id"]: r["act"] for r in names.resolve_acts(df).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 1}
