@@ -18,11 +18,13 @@ def whole_number(c: Column, low: int, high: int) -> Column:
 
 def day_first_date(c: Column) -> Column:
     """The date in `c`, written day, month, year with any separators; two-digit years from 69 on are 19xx."""
-    d, m, y = (F.regexp_extract(c, DAY_FIRST, i).try_cast("int") for i in (1, 2, 3))
-    year = F.when(y >= 100, y).when(y >= 69, y + 1900).otherwise(y + 2000)
-    return F.format_string("%04d-%02d-%02d", year, m, d).try_cast("date")
+    # one match, then its three numbers
+    parts = F.split(F.regexp_extract(c, DAY_FIRST, 0), "[^0-9]+")
+    d, m, y = (F.get(parts, F.lit(i)) for i in range(3))
+    year = F.when(F.length(y) == 4, y).when(y >= F.lit("69"), F.concat(F.lit("19"), y)).otherwise(F.concat(F.lit("20"), y))
+    return F.concat_ws("-", year, m, d).try_cast("date")
 
 
 def count_reading(c: Column) -> Column:
     """The number in a cell as double: quotes, blanks and thousands commas removed; null where there is none."""
-    return F.regexp_replace(c, r"[\s ,\"']", "").try_cast("double")
+    return F.regexp_replace(c, r"[\s\xA0,\"']", "").try_cast("double")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartweave.functions.cells import day_first_date, whole_number
-from chartweave.functions.keys import has_letters, record_key
+from chartweave.operators.entities import anagram_parts, with_song
 
 #: Field -> highest usable value.
 FIELDS = {"rank": 100, "peak": 100, "weeks_on_chart": 500}
@@ -15,15 +15,15 @@ FIELDS = {"rank": 100, "peak": 100, "weeks_on_chart": 500}
 def fill_chart_gaps(df: DataFrame, max_gap_days: int = 84) -> DataFrame:
     """Every row of a chart table with rank, peak and weeks_on_chart filled and marked.
 
-    Time-ordered filling per entity (market + song + artist, compared as a character
-    multiset). Adds for each field F
+    Time-ordered filling per entity (market + song + artist, apart from case, blanks, marks,
+    the order of credited names and exchanged places; anagrams are other entities). Adds for each field F
       F_filled    int, the usable or the filled value (null only if nothing in its market's chart of that week helps),
       F_method    'observed'; 'same_week' (a copy of the record), 'interpolated' (between observed
                   neighbours), 'carried' (from one neighbour; weeks_on_chart moves with the weeks),
                   'chart_median' (of the songs of the same market and week); 'none',
       F_distance  days to the farther record used, null for observed, chart_median and none.
-    peak is a category: it is carried, never interpolated. A neighbour farther than
-    max_gap_days isn't used.
+    peak is a category: it is carried, never interpolated, and never worse than the rank observed
+    in that week. A neighbour farther than max_gap_days isn't used.
 
     Cases: null or unreadable cells and dates count as missing; a row without date,
     or with blank song and artist, has no entity and takes only the chart median, or 'none'.
@@ -32,36 +32,49 @@ def fill_chart_gaps(df: DataFrame, max_gap_days: int = 84) -> DataFrame:
     of the input that have a name added here are replaced.
 
     Plan: rows are first aggregated (map side) to one record per entity and week, so the
-    windows see the weeks of a song, never its copies; a hot song is small there. The
-    result is joined back, where AQE splits a skewed side.
+    windows see the weeks of a song, never its copies; a hot song is small there. Rows
+    without a gap go out as they are read; only rows with one are shuffled, once, and joined with
+    the weeks that have one, where AQE splits a skewed side.
     """
-    named = has_letters(F.col("song")) | has_letters(F.col("artist"))
-    rows = df.select(
-        "*",
-        F.datediff(day_first_date(F.col("chart_date")), F.lit("1970-01-01").cast("date")).alias("__day"),
-        F.when(named, record_key(F.col("song"), F.col("artist"))).alias("__song"),
-        *[whole_number(F.col(f), 1, hi).alias(f"__{f}") for f, hi in FIELDS.items()],
-    )
+    names = [f"{f}_{x}" for f in FIELDS for x in ("filled", "method", "distance")]
+    kept = [c for c in df.columns if c not in names]
+    own = {f: whole_number(F.col(f), 1, hi).alias(f"__{f}") for f, hi in FIELDS.items()}
+    read = df.select(*[F.col(f"`{c}`") for c in kept], *own.values())
+    whole = " and ".join(f"__{f} is not null" for f in FIELDS)
+    fine = read.filter(whole).select(
+        *[F.col(f"`{c}`") for c in kept],
+        *[x for f in FIELDS for x in (F.col(f"__{f}").alias(f"{f}_filled"), F.lit("observed").alias(f"{f}_method"), F.lit(None).cast("int").alias(f"{f}_distance"))],
+    )
+    parts = anagram_parts(df)
+    day = F.datediff(day_first_date(F.col("chart_date")), F.lit("1970-01-01").cast("date")).alias("__day")
+
+    weeks = with_song(df.select("market", "song", "artist", day, *own.values()), parts).filter("__song is not null and __day is not null")
     values = [F.min(f"__{f}").alias(f"__w_{f}") for f in FIELDS]
-    weeks = rows.filter(named & F.col("__day").isNotNull()).groupBy(F.col("market").alias("__m"), F.col("__song").alias("__s"), F.col("__day").alias("__d")).agg(*values)
-    # one row per chart, over its songs; from the same exchange as the windows
+    gap = F.max(F.expr(f"not ({whole})")).alias("__gap")
+    weeks = weeks.groupBy(F.col("market").alias("__m"), F.col("__song").alias("__s"), F.col("__part").alias("__p"), F.col("__day").alias("__d")).agg(*values, gap)
+    # one row per chart, over its songs
     charts = weeks.groupBy(F.col("__m").alias("__cm"), F.col("__d").alias("__cd")).agg(*[F.percentile_approx(f"__w_{f}", 0.5).alias(f"__c_{f}") for f in FIELDS])
-    back = Window.partitionBy("__m", "__s").orderBy("__d").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = Window.partitionBy("__m", "__s").orderBy(F.col("__d").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    by = ["__m", "__s", "__p"]
+    back = Window.partitionBy(*by).orderBy("__d").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(*by).orderBy(F.col("__d").desc()).rowsBetween(Window.unboundedPreceding, -1)
     seen = {f: F.when(F.col(f"__w_{f}").isNotNull(), F.struct(F.col("__d").alias("d"), F.col(f"__w_{f}").alias("v"))) for f in FIELDS}
     weeks = weeks.select("*", *[F.last(x, True).over(back).alias(f"__b_{f}") for f, x in seen.items()])
     weeks = weeks.select("*", *[F.last(x, True).over(ahead).alias(f"__a_{f}") for f, x in seen.items()])
-    weeks = weeks.select("__m", "__s", "__d", *[_guess(f, max_gap_days).alias(f"__g_{f}") for f in FIELDS])
-    # null-safe equality: plain equality would add null tests below the aggregate, and its exchange couldn't be shared
-    rows = rows.join(weeks, F.col("market").eqNullSafe(F.col("__m")) & F.col("__song").eqNullSafe(F.col("__s")) & F.col("__day").eqNullSafe(F.col("__d")), "left")
+    weeks = weeks.filter("__gap").select(*by, "__d", "__w_rank", *[_guess(f, max_gap_days).alias(f"__g_{f}") for f in FIELDS])
+
+    rows = with_song(read.filter(f"not ({whole})").withColumn("__day", day), parts)
+    # null-safe equality: rows without an entity or a date keep their place, and a null market is one market
+    rows = rows.join(weeks, F.col("market").eqNullSafe(F.col("__m")) & F.col("__song").eqNullSafe(F.col("__s")) & (F.col("__part") == F.col("__p")) & F.col("__day").eqNullSafe(F.col("__d")), "left")
     rows = rows.join(charts, F.col("market").eqNullSafe(F.col("__cm")) & F.col("__day").eqNullSafe(F.col("__cd")), "left")
     new = []
     for f in FIELDS:
-        own, guess, median = F.col(f"__{f}"), F.col(f"__g_{f}"), F.col(f"__c_{f}")
-        method = F.when(own.isNotNull(), "observed").when(guess.isNotNull(), guess["method"]).when(median.isNotNull(), "chart_median").otherwise("none")
-        new += [F.coalesce(own, guess["value"], median).alias(f"{f}_filled"), method.alias(f"{f}_method"), F.when(own.isNull(), guess["distance"]).alias(f"{f}_distance")]
-    names = {f"{f}_{x}" for f in FIELDS for x in ("filled", "method", "distance")}
-    return rows.select(*[F.col(f"`{c}`") for c in df.columns if c not in names], *new)
+        cell, guess, median = F.col(f"__{f}"), F.col(f"__g_{f}"), F.col(f"__c_{f}")
+        method = F.when(cell.isNotNull(), "observed").when(guess.isNotNull(), guess["method"]).when(median.isNotNull(), "chart_median").otherwise("none")
+        filled = F.coalesce(guess["value"], median)
+        if f == "peak":
+            filled = F.when(filled.isNotNull(), F.least(filled, F.col("__rank"), F.col("__w_rank")))
+        new += [F.coalesce(cell, filled).alias(f"{f}_filled"), method.alias(f"{f}_method"), F.when(cell.isNull(), guess["distance"]).alias(f"{f}_distance")]
+    return fine.unionByName(rows.select(*[F.col(f"`{c}`") for c in kept], *new))
 
 
 def _guess(field: str, max_gap_days: int) -> Column:

@@ -57,6 +57,21 @@ def test_fill_edges(spark):
     assert long[0]["rank_filled"] == 3
 
 
+def test_fill_tells_anagrams_apart(spark):
+    rows = [
+        {"song": "Listen", "rank": "5"}, {"song": "Silent", "chart_date": "13-10-23", "rank": "52", "weeks_on_chart": "22"}, {"song": "Listen", "chart_date": "13-10-23", "rank": "", "weeks_on_chart": ""}, {"song": "A", "artist": "LISTEN!", "chart_date": "13-10-23", "rank": "x", "weeks_on_chart": None},
+        {"song": "Sum 13", "rank": "7"}, {"song": "Sum 31", "rank": "", "chart_date": "13-10-23"},
+    ]
+    got = filled(spark, rows)
+    assert (got[2]["rank_filled"], got[2]["rank_method"], got[2]["weeks_on_chart_filled"]) == (5, "carried", 2)
+    assert got[3]["rank_filled"] == 5 and got[5]["rank_method"] == "chart_median"
+
+
+def test_filled_peak_is_no_worse_than_the_rank(spark):
+    got = filled(spark, [{"rank": "9", "peak": "7"}, {"chart_date": "13-10-23", "rank": "3", "peak": ""}, {"song": "T", "rank": "2", "peak": ""}])
+    assert (got[1]["peak_filled"], got[1]["peak_method"]) == (3, "carried") and (got[2]["peak_filled"], got[2]["peak_method"]) == (2, "chart_median")
+
+
 def by_hand(line, width=16):
     s = (line or "").removeprefix("﻿").removesuffix("\r")
     if not s.strip():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,8 +74,20 @@ def test_hashes(spark):
     assert h[0] == h[1] != h[2]
     bags = apply(spark, keys.bag_hash, ["abc", "cab", "abcc", "", None, "é"])
     assert bags[0] == bags[1] != bags[2] and bags[3] == bags[4] == 0 and len(set(bags)) == 4
-    a, b, c, d, e = apply(spark, keys.bag_hash, ["x13", "13x", "x31", "13", "5x13"])
-    assert a == b != c and len({a, c, d, e}) == 4
+    assert apply(spark, keys.names_of, ["B c & a", "A; b/c", "x / Y", "a/b", "Z feat. Q", "one, two", None, "b//a"]) == ["a\x1fbc", "a\x1fbc", "x\x1fy", "a\x1fb", "q\x1fz", "one\x1ftwo", "", "a\x1fb"]
+
+
+def test_forms():
+    assert keys.in_some_order(["ab", "a", "ba"], "abbaa") and keys.in_some_order(["ab", "a", "ba"], "aabba") and not keys.in_some_order(["ab", "ba"], "aabb") and not keys.in_some_order(["a"], "aa")
+    assert not keys.in_some_order(["a" * i for i in range(1, 9)], "a" * 35 + "b") and keys.in_some_order(["a"] * 3000 + ["ab"] * 500, "ab" * 500 + "a" * 3000)
+
+    def form(song, artist):
+        plain = lambda x: "".join(re.findall(r"[a-z0-9]+", x.lower()))
+        names = lambda x: "\x1f".join(sorted(plain(n) for n in re.split("[&,;]", x)))
+        return plain(song), plain(artist), names(song), names(artist)
+
+    forms = [form(*x) for x in [("A Tune", "Dario Latuck & Pifax"), ("a tune", "Pifax, Dario Latuck"), ("Dario Latuck Pifax", "ATune"), ("A Tune", "PIFAX dario latuck"), ("Tune A", "Dario Latuck & Pifax"), ("A Tune", "Latuck Pifax Dario"), ("Sum 41 & 3", "x"), ("3, Sum 41", "X"), ("Sum 14 & 3", "x")]]
+    assert keys.parts_of(forms) == [0, 0, 0, 0, 4, 5, 6, 6, 8] and keys.parts_of(forms[:1]) == [0] and keys.parts_of([]) == []
 
 
 def test_similarity(spark):
