@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from chartweave.llm.catalogue import map_entries
@@ -66,12 +68,27 @@ def p10_clean(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p4_collapsed, p6_found, p6_acts, p8_ids, p9_mix, p9_shares, p10_found, p10_reasons, p10_clean)}
 
-_L = r"regexp_replace(replace(lower(coalesce({c}, '')), 'ß', 'ss'), '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g')"
-_BAG = f"array_to_string(list_sort(string_split({_L}, '')), '')"
+_L = r"regexp_replace(replace(lower({c}), 'ß', 'ss'), '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g')"
+_APART = r"\s*[;&,]\s*|[\s_\x{A0}/.-]feat\.?[\s_\x{A0}/-]+|[\s\x{A0}_-]/+[\s\x{A0}_-]|//+"
 _USABLE = r"""try_cast(regexp_extract("rank", '^[^\p{L}\p{N}\-−–]*([0-9]+)(?:\.0+)?[^\p{L}\p{N}\-−–]*$', 1) AS INTEGER)"""
 _DATE = r"""regexp_replace(regexp_extract(chart_date, '([0-9]{1,2})[^0-9]+([0-9]{1,2})[^0-9]+([0-9]{4}|[0-9]{2})'), '^([0-9]{1,2})[^0-9]+([0-9]{1,2})[^0-9]+([0-9]+)$', '\3-\2-\1')"""
-P4_SQL = f"""WITH r AS (SELECT row_id, market, {_DATE} d, {_USABLE} k, {_BAG.format(c='song')} s, {_BAG.format(c='artist')} a FROM chart_template),
-g AS (SELECT row_id AS copy_id, min(row_id) OVER (PARTITION BY market, d, k, least(s, a), greatest(s, a)) AS keep_id FROM r WHERE market IS NOT NULL AND d <> '' AND k BETWEEN 1 AND 100 AND (s <> '' OR a <> ''))
-SELECT keep_id, copy_id FROM g WHERE keep_id < copy_id"""
+
+
+def _orders(c: str) -> str:
+    """SQL: the letters of a credit's names, joined in each of their orders; more than four names in the given and the sorted order."""
+    pick = lambda o: " || ".join(f"n[{i}]" for i in o)
+    whens = " ".join(f"WHEN {k} THEN [{', '.join(pick(o) for o in itertools.permutations(range(1, k + 1)))}]" for k in (2, 3, 4))
+    names = f"list_filter(list_transform(string_split_regex(coalesce({c}, ''), CASE WHEN regexp_matches(coalesce({c}, ''), '{_APART}') THEN '{_APART}' ELSE '/' END), lambda z: {_L.format(c='z')}), lambda z: z <> '')"
+    return f"(SELECT CASE len(n) {whens} ELSE [array_to_string(n, ''), array_to_string(list_sort(n), '')] END FROM (SELECT {names} AS n))"
+
+
+# rows of one market, day and rank with a key in common are copies; two more steps reach rows that share one with a third
+P4_SQL = f"""WITH r AS (SELECT row_id, market, {_DATE} d, {_USABLE} k, {_L.format(c="coalesce(song, '')")} s, {_L.format(c="coalesce(artist, '')")} a, {_orders('song')} so, {_orders('artist')} ao FROM chart_template),
+e AS (SELECT DISTINCT row_id, hash(market, d, k) g, unnest(list_concat(list_transform(list_concat(ao, [a]), lambda z: s || '|' || z), list_transform(list_concat(so, [s]), lambda z: a || '|' || z))) t
+    FROM r WHERE market IS NOT NULL AND d <> '' AND k BETWEEN 1 AND 100 AND (s <> '' OR a <> '')),
+l1 AS (SELECT row_id, min(m) m FROM (SELECT row_id, min(row_id) OVER (PARTITION BY g, t) m FROM e) GROUP BY 1),
+l2 AS (SELECT row_id, min(m) m FROM (SELECT e.row_id, min(l1.m) OVER (PARTITION BY g, t) m FROM e JOIN l1 USING (row_id)) GROUP BY 1),
+l3 AS (SELECT row_id, min(m) m FROM (SELECT e.row_id, min(l2.m) OVER (PARTITION BY g, t) m FROM e JOIN l2 USING (row_id)) GROUP BY 1)
+SELECT m AS keep_id, row_id AS copy_id FROM l3 WHERE m < row_id"""
 
 SQL: dict[str, str] = {"p4_found": P4_SQL}

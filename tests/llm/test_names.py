@@ -76,6 +76,15 @@ def test_copies(spark):
     assert kept[1] == 3 and kept[12] == 2 and kept[11] == 1 and sum(kept.values()) == len(rows)
 
 
+def test_copies_in_groups_of_anagrams(spark):
+    rows = [
+        (1, "Tune A", "Isla Bo & Jo Sam"), (2, "A Tune", "Isla Bo & Jo Sam"), (3, "a tune", "Jo Sam; Isla Bo"), (4, "ATune", "jo sam isla bo"), (5, "Isla Bo / Jo Sam", "A-Tune"), (6, "Tune_A", "Jo Sam, Isla Bo"), (7, "ATune", "Sam Jo Isla Bo"),
+        (11, "Love Me Not", "X"), (12, "Not Me Love", "X"), (13, "Sum", "Sum 41 & 3 Doors"), (14, "SUM", "3 Doors, Sum 41"), (15, "SUM", "3 Doors, Sum 14"),
+    ]
+    df = spark.createDataFrame([(i, "M", "06-10-23", "5" if i < 11 else "6", s, a) for i, s, a in rows], CHART)
+    assert {tuple(r) for r in copies.copy_links(df).collect()} == {(1, 6), (2, 3), (2, 4), (2, 5), (13, 14)}
+
+
 def test_parsing():
     assert names.parse_name("The Krupert Orch.") == ("orchestra", ("krupert",), ()) and names.parse_name("Ensemble of Pimidel") == ("ensemble", ("pimidel",), ())
     assert names.parse_name("Brorolund S.S.") == names.parse_name("The Brorolund Sound System") and names.parse_name("gubanas st. band")[0] == "street band"
