@@ -18,7 +18,7 @@ NAME_END = "\x1f"
 
 def letters(c: Column) -> Column:
     """Letters and digits of `c` in lower case, '' for null. 'ß' equals 'SS'."""
-    return F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "ß", "ss"), NOT_WORD, "")
+    return F.regexp_replace(F.replace(F.lower(F.coalesce(c, F.lit(""))), F.lit("ß"), F.lit("ss")), NOT_WORD, "")
 
 
 def has_letters(c: Column) -> Column:
@@ -63,14 +63,13 @@ def record_key(*fields: Column, seed: int = 0) -> Column:
 
 
 def names_of(c: Column) -> Column:
-    """The letters of each name of a credit, sorted and joined by NAME_END; a text without separators is one name.
+    """The letters of each name of a credit, sorted and joined by NAME_END; null for a text without separators, which is one name.
 
     A slash parts names only where it stands apart from words or nothing else does.
     """
-    t = F.coalesce(c, F.lit(""))
+    t = F.lower(c)
     parts = F.when(t.rlike(NAMES_APART), F.split(t, NAMES_APART)).otherwise(F.split(t, "/"))
-    many = F.array_join(F.array_sort(F.array_remove(F.transform(parts, letters), "")), NAME_END)
-    return F.when(t.rlike(f"{NAMES_APART}|/"), many).otherwise(letters(t))
+    return F.when(t.rlike("[;&,/]|feat"), F.array_join(F.array_sort(F.array_remove(F.transform(parts, letters), "")), NAME_END))
 
 
 def in_some_order(names: list[str], text: str) -> bool:
@@ -91,14 +90,14 @@ def in_some_order(names: list[str], text: str) -> bool:
     return False
 
 
-Form = tuple[str, str, str, str]  # letters of two fields, then their sorted names
+Form = tuple[str, str, str | None, str | None]  # letters of two fields, then their sorted names
 
 
-def same_credit(a: str, a_names: str, b: str, b_names: str) -> bool:
+def same_credit(a: str, a_names: str | None, b: str, b_names: str | None) -> bool:
     """Equal letters, or the same names in another order, also where one side's separators are lost."""
-    if a == b or a_names == b_names:
+    if a == b or a_names and a_names == b_names:
         return True
-    return any(NAME_END in n and in_some_order(n.split(NAME_END), x) for n, x in ((a_names, b), (b_names, a)))
+    return any(n and NAME_END in n and in_some_order(n.split(NAME_END), x) for n, x in ((a_names, b), (b_names, a)))
 
 
 def same_form(p: Form, q: Form) -> bool:
@@ -128,8 +127,9 @@ def parts_of(forms: list[Form]) -> list[int]:
         root[j] = i
 
     first: dict[tuple, int] = {}
+    forms = [(s, a, sn or None, an or None) for s, a, sn, an in forms]
     for i, (s, a, sn, an) in enumerate(forms):
-        for k in (("l", *sorted((s, a))), ("c", s, an), ("c", a, sn)):
+        for k in (("l", *sorted((s, a))), ("c", s, an or a), ("c", a, sn or s)):
             join(i, first.setdefault(k, i))
     heads = [i for i in range(len(forms)) if find(i) == i]
     if len(heads) > 1:

@@ -30,7 +30,8 @@ def anagram_parts(df: DataFrame) -> DataFrame | None:
 
     def part(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["__ps", "__pa", "songs", "artists"])
-        roots = parts_of(list(zip(group["__ps"], group["__pa"], group["songs"], group["artists"])))
+        names = group[["songs", "artists"]].astype(object).where(group[["songs", "artists"]].notna(), None)
+        roots = parts_of(list(zip(group["__ps"], group["__pa"], names["songs"], names["artists"])))
         number = {r: k for k, r in enumerate(sorted(set(roots)))}
         group = group.assign(__pp=[number[r] for r in roots])
         return group.loc[group["__pp"] > 0, ["__pm", "__ps", "__pa", "__pp"]].drop_duplicates()

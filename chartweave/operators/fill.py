@@ -48,19 +48,21 @@ def fill_chart_gaps(df: DataFrame, max_gap_days: int = 84) -> DataFrame:
     parts = anagram_parts(df)
     day = F.datediff(day_first_date(F.col("chart_date")), F.lit("1970-01-01").cast("date")).alias("__day")
 
-    weeks = with_song(df.select("market", "song", "artist", day, *own.values()), parts).filter("__song is not null and __day is not null")
-    values = [F.min(f"__{f}").alias(f"__w_{f}") for f in FIELDS]
+    weeks = with_song(df.select("market", "song", "artist", day, *own.values()), parts).filter("__day is not null")
+    # rows without an entity only say that their chart has a gap
+    values = [F.min(F.when(F.col("__song").isNotNull(), F.col(f"__{f}"))).alias(f"__w_{f}") for f in FIELDS]
     gap = F.max(F.expr(f"not ({whole})")).alias("__gap")
     weeks = weeks.groupBy(F.col("market").alias("__m"), F.col("__song").alias("__s"), F.col("__part").alias("__p"), F.col("__day").alias("__d")).agg(*values, gap)
-    # one row per chart, over its songs
-    charts = weeks.groupBy(F.col("__m").alias("__cm"), F.col("__d").alias("__cd")).agg(*[F.percentile_approx(f"__w_{f}", 0.5).alias(f"__c_{f}") for f in FIELDS])
+    # one row per chart with a gap, over its songs; from the same exchange as the windows
+    medians = [F.percentile_approx(f"__w_{f}", 0.5).alias(f"__c_{f}") for f in FIELDS]
+    charts = weeks.groupBy(F.col("__m").alias("__cm"), F.col("__d").alias("__cd")).agg(*medians, F.max("__gap").alias("__cg")).filter("__cg").drop("__cg")
     by = ["__m", "__s", "__p"]
     back = Window.partitionBy(*by).orderBy("__d").rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy(*by).orderBy(F.col("__d").desc()).rowsBetween(Window.unboundedPreceding, -1)
     seen = {f: F.when(F.col(f"__w_{f}").isNotNull(), F.struct(F.col("__d").alias("d"), F.col(f"__w_{f}").alias("v"))) for f in FIELDS}
     weeks = weeks.select("*", *[F.last(x, True).over(back).alias(f"__b_{f}") for f, x in seen.items()])
     weeks = weeks.select("*", *[F.last(x, True).over(ahead).alias(f"__a_{f}") for f, x in seen.items()])
-    weeks = weeks.filter("__gap").select(*by, "__d", "__w_rank", *[_guess(f, max_gap_days).alias(f"__g_{f}") for f in FIELDS])
+    weeks = weeks.filter("__gap and __s is not null").select(*by, "__d", "__w_rank", *[_guess(f, max_gap_days).alias(f"__g_{f}") for f in FIELDS])
 
     rows = with_song(read.filter(f"not ({whole})").withColumn("__day", day), parts)
     # null-safe equality: rows without an entity or a date keep their place, and a null market is one market
