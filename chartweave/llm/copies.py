@@ -59,7 +59,7 @@ def copy_links(df: DataFrame) -> DataFrame:
     first = members.filter("row_id = keep_id").groupBy("keep_id").agg(*[F.first(c).alias(f"k_{c}") for c in fields])
     others = members.filter("row_id <> keep_id").join(first, "keep_id")
     same = F.expr("market = k_market and day = k_day and rank = k_rank")
-    same &= F.expr("(s = k_s and (a = k_a or an = k_an)) or (a = k_a and sn = k_sn) or (s = k_a and (a = k_s or an = k_sn)) or (a = k_s and sn = k_an)")
+    same &= F.expr("(s = k_s and (a = k_a or coalesce(an = k_an, false))) or (a = k_a and coalesce(sn = k_sn, false)) or (s = k_a and (a = k_s or coalesce(an = k_sn, false))) or (a = k_s and coalesce(sn = k_an, false))")
     others = others.withColumn("same", same)
     mixed = cut(others.filter("not same").select("keep_id").distinct())
     plain = others.select("keep_id", F.col("row_id").alias("copy_id"))
@@ -71,13 +71,16 @@ def copy_links(df: DataFrame) -> DataFrame:
     def part(group: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, g in group.groupby(by):
-            roots = parts_of(list(zip(g["s"], g["a"], g["sn"], g["an"])))
+            roots = parts_of([tuple(x if isinstance(x, str) else None for x in f) for f in zip(g["s"], g["a"], g["sn"], g["an"])])
             g = g.assign(root=roots)
             out.append(g.assign(real=g.groupby("root")["low"].transform("min")))
         return pd.concat(out)[["keep_id", *by, "s", "a", "sn", "an", "real"]]
 
     real = forms.groupBy("keep_id").applyInPandas(part, "keep_id bigint, market string, day date, rank int, s string, a string, sn string, an string, real bigint")
-    odd = members.join(real, ["keep_id", *by, "s", "a", "sn", "an"]).filter("row_id <> real").select(F.col("real").alias("keep_id"), F.col("row_id").alias("copy_id"))
+    fits = F.col("r.keep_id") == F.col("m.keep_id")
+    for c in (*by, "s", "a", "sn", "an"):
+        fits &= F.col(f"r.{c}").eqNullSafe(F.col(f"m.{c}"))
+    odd = members.alias("m").join(real.alias("r"), fits).select("m.row_id", "r.real").filter("row_id <> real").select(F.col("real").alias("keep_id"), F.col("row_id").alias("copy_id"))
     return plain.join(mixed, "keep_id", "left_anti").unionByName(odd).distinct()
 
 
