@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chartweave.operators import fill, records, spikes, units
+from chartweave.plans.core_queries import p7_rule
 
 CHART = "row_id long, market string, src_file string, pos long, chart_date string, rank string, change string, song string, artist string, points string, peak string, weeks_on_chart string, sales string, streams string, loaded_at string"
 
@@ -210,5 +211,55 @@ def test_spikes(spark):
     assert {r["row_id"] for r in got} == want and {r["field"] for r in got} == {"sales"} and n == 480
     assert spikes.flag_spikes(chart(spark, rows).limit(0)).count() == 0
     # blocks of a hot market only spread the work
-    again = spikes.flag_spikes(chart(spark, rows), block_rows=100)
-    assert {r["row_id"] for r in again.filter("reason <> 'stuck'").collect()} >= {r["row_id"] for r in got if r["reason"] != "stuck"} - {None}
+    plain = {tuple(r) for r in got}
+    for n in (100, 37):
+        assert {tuple(r) for r in spikes.flag_spikes(chart(spark, rows), block_rows=n).collect()} == plain
+
+
+def test_the_forest_decides(spark):
+    rng = random.Random(8)
+    rows = market(rng, 60, 14)
+    for k in range(12):
+        rows += weeks_of([1000, 1040, round(1020 * (1.22 + 0.005 * k)), 1010, 990], song=f"a little {k}")
+        rows += weeks_of([1000, 1040, 5000 + k, 1010, 990], song=f"far out {k}")
+    rows = [r | {"points": None, "streams": None} for r in rows]
+    with_, without = ({(r["row_id"], r["field"]) for r in spikes.flag_spikes(chart(spark, rows), floor=f).collect()} for f in (True, False))
+    assert with_ < without and len(with_) == 12 and len(without) >= 24
+
+
+def test_copies_of_a_week_are_judged_one_by_one(spark):
+    rows = market(random.Random(9), 40, 12) + weeks_of([1000, 1010, 990, 1005, 1000], song="copied")
+    week = rows[-3]
+    extra = [1000, 1100, 3000, 9000, 50]
+    rows += [week | {"sales": str(x)} for x in extra]
+    rows = [r | {"points": None, "streams": None} for r in rows]
+    got = {r["row_id"] for r in spikes.flag_spikes(chart(spark, rows)).collect()}
+    assert got == {len(rows) - 3, len(rows) - 2, len(rows) - 1}
+
+
+def test_summaries_add_up():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    song = np.repeat(np.arange(300), 10)
+    day = np.tile(np.arange(10) * 7 + 19_000, 300)
+    w = spikes.week_features(day, song, np.round(np.exp(rng.normal(7, 1, 3000))))
+    order = spikes.reading_hash(song, np.zeros(3000, np.int64), day)
+    whole = spikes.summarize(w, order)
+    cut = [np.flatnonzero(song % 7 == k) for k in range(7)]
+    parts = spikes.merge_summaries([spikes.summarize({k: x[i] for k, x in w.items()}, order[i]) for i in cut])
+    assert whole.keys() == parts.keys() and all((whole[k] == parts[k]).all() for k in whole)
+
+
+def rule_of_thumb(spark, folder):
+    """The forest against a plain rule: five typical movements beyond the neighbours, or four equal weeks."""
+    from tests.oracle import connect
+
+    want = {tuple(r) for r in connect(folder).execute(p7_rule()).fetchall()}
+    got = {tuple(r) for r in spikes.flag_spikes(spark.read.parquet(f"{folder}/chart_template.parquet")).select("row_id", "field").collect()}
+    return len(got & want) / len(want), len(got & want) / len(got)
+
+
+def test_spikes_agree_with_a_rule(spark, small):
+    recall, precision = rule_of_thumb(spark, small)
+    assert recall > 0.95 and precision > 0.95
