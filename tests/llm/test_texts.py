@@ -92,6 +92,25 @@ def test_mix(spark):
     assert mix.mix_shares(mix.draw_mix(df.limit(0), targets, PATH), targets).count() == 3
 
 
+def test_one_huge_document_does_not_break_the_shares(spark):
+    rng = random.Random(2)
+    docs = [(i, "ab"[i % 2], " word" * rng.randint(5, 200)) for i in range(600)] + [(600, "a", " word" * 60_000), (601, "a", None)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    drawn = mix.draw_mix(df, targets, PATH)
+    shares = {r["source"]: r for r in mix.mix_shares(drawn, targets).collect()}
+    assert abs(shares["a"]["actual_share"] - 0.5) < 0.01 and shares["a"]["due_share"] == 0.5 and drawn.filter("doc_id = 600").count() == 0
+    few = {r["source"]: r["actual_share"] for r in mix.mix_shares(mix.draw_mix(df, targets, PATH, shard_tokens=9000, most_shards=3), targets).collect()}
+    assert abs(few["a"] - 0.5) < 0.01
+
+
+@given(st.lists(st.integers(1, 50), max_size=30), st.integers(0, 300))
+def test_quota(tokens, quota):
+    taken = mix.fill_quota(np.array(tokens, np.int64), quota)
+    used = sum(n for n, t in zip(tokens, taken) if t)
+    assert used <= quota and all(n > quota - used for n, t in zip(tokens, taken) if not t)
+
+
 MD = "# %% [markdown]\n{}\n\n# %% In[1]\nx = load('rows')\nx.head()\n"
 PROMPT = "# Lab 2\n\n{}\n\nIn [1]:\nprint(1)\n\nOut[1]:\n1"
 NB = '{{"cells": [{{"cell_type": "markdown", "metadata": {{}}, "source": ["{}"]}}, {{"cell_type": "code", "source": ["a = 1"], "outputs": []}}], "nbformat": 4}}'
