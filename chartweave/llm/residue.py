@@ -54,8 +54,11 @@ TITLE = re.compile(
 )
 WEAK_TITLE = re.compile(r"[#*\s]*(?:error|oops|fehler|erreur|sorry|warning|notice|unavailable|attention)[.!\s]*", re.I)
 CUE = re.compile(rf"{FILLER.pattern}|{ERROR.pattern}|{SCRIPT.pattern}", re.I)
-#: Words up to which a whole text that is no notebook may be a low-information page in any wording.
+#: Words up to which a page or cell in any wording may be a low-information response.
 SHORT = 60
+#: How often residue, in contrast to own words, shares no term with its surroundings, and how much likelier hosts together must make it.
+FOREIGN, ODDS = 0.95, 1000.0
+TERM = re.compile(r"[^\W\d_]{4,}|[^\x00-\x7f\W\d_]{2,}")
 PROMPT = re.compile(r"(?m)^(?:In|Out) ?\[[ \d*]*\]:")
 TRACE = re.compile(r"^\w*(?:Error|Exception|Warning)\b.*:", re.S)
 FENCE = re.compile(r"(?ms)^```.*?^```|^~~~.*?^~~~")
@@ -145,19 +148,44 @@ def judge_cell(cell: str, page: bool) -> str | None:
     return "weak" if title or markup else None
 
 
-def _terms(text: str) -> set[str]:
-    return {w for w in re.split(r"[^a-z]+", text.lower()) if len(w) > 3}
+def _terms(text: str) -> list[str]:
+    return list(dict.fromkeys(TERM.findall(text.lower())))
+
+
+def is_foreign(cell: str, slug: str, text: str) -> bool:
+    """Whether no term of the cell occurs in the address slug or in the rest of the text, its titles and body; both in lower case."""
+    own = cell.lower()
+    return not any(t in slug or text.count(t) > own.count(t) for t in _terms(own))
+
+
+def says_little(cell: str) -> bool:
+    """Whether the words of a cell are a few that come again and again: eight words or more, of at most eight kinds, each three times and more on average."""
+    words = re.findall(r"[^\W\d_]+", cell.lower())
+    kinds = len(set(words))
+    return len(words) >= 8 and kinds <= 8 and len(words) >= 3 * kinds
+
+
+def _unit(kind: str, text: str) -> int:
+    return xxhash.xxh3_64_intdigest(f"{kind} {text}") - 2**63
+
+
+def _plain(text: str) -> str:
+    return re.sub(r"[\d#*]+|\b[0-9a-f]{8,}\b", "", TAG.sub("\n", text)).lower()
 
 
 def residue_evidence(docs: DataFrame) -> DataFrame:
-    """doc_id, host (repo), reason, mismatch, units of each document with a hint of residue.
+    """doc_id, host (repo), reason, units of each document with a text cell that may be residue.
 
-    mismatch: no word of the address (repo and path) occurs in the text; units: hashes of
-    the sentences of weak cells without digits, to be counted over hosts.
+    units: hash of a normalized page, cell or sentence, its kind, whether it is foreign to its surroundings, and a hash of
+    these: the title, else the text cell around it with the least hash, else the host; of foreign cells also a hash of the
+    words without each of them in turn. Kinds:
+    'cell' - a short text cell in any wording, compared with slug, titles and body; 'page' - a
+    short whole text, compared with the slug; 'weak' - a sentence of a cell in the form of an error page, likewise.
     """
     has = [c if c in docs.columns else None for c in ("repo", "path")]
     cols = [F.col(c).cast("string") if c else F.lit(None).cast("string") for c in has]
     src = docs.select("doc_id", *[c.alias(n) for c, n in zip(cols, ("repo", "path"))], F.col("text").cast("string").alias("text"))
+    unit = pa.struct([("unit", pa.int64()), ("kind", pa.string()), ("foreign", pa.bool_()), ("around", pa.int64()), ("slots", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -169,26 +197,37 @@ def residue_evidence(docs: DataFrame) -> DataFrame:
                 page = len(cells) == 1 and cells[0] is text
                 if page and "<" not in text:
                     cells = [text, *(p for p in re.split(r"\n[ \t]*\n", text) if not TRACE.match(p))]
-                verdicts = [judge_cell(c, page and i == 0) for i, c in enumerate(cells)]
-                strong = next((v for v in verdicts if v and v != "weak"), None)
-                units: list[int] = []
-                if strong is None:
-                    # a short page in any wording counts as a whole; single sentences and cells of notebooks recur in good ones, too
-                    if page and verdicts[0] is None and len(text.split()) <= SHORT:
-                        whole = " ".join(re.sub(r"[\d#*]+|\b[0-9a-f]{8,}\b", "", TAG.sub("\n", text)).lower().split())
-                        units += [xxhash.xxh3_64_intdigest(f"page {whole}") - 2**63] if len(whole.split()) > 2 else []
-                    for c, v in zip(cells, verdicts):
-                        if v == "weak":
-                            plain = re.sub(r"[\d#*]+|\b[0-9a-f]{8,}\b", "", TAG.sub("\n", c)).lower()
-                            units += [xxhash.xxh3_64_intdigest(s.strip()) - 2**63 for s in SENTENCE.split(plain) if len(s.split()) > 2]
-                if strong or units:
-                    slug = _terms(f"{repo or ''} {path or ''}")
-                    rows.append((doc, repo, strong, not slug & _terms(text), units))
-            kinds = (b.schema.field(0).type, pa.string(), pa.string(), pa.bool_(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["doc_id", "host", "reason", "mismatch", "units"])
+                slug, low = f"{repo or ''} {path or ''}".lower(), text.lower()
+                reason, units = None, []
+                title = next((x for c in cells for x in c.split("\n") if x.startswith("#")), None) if not page else None
+                marks = sorted({_unit("around", c.strip()) for c in cells}) if not page and title is None else []
+                for i, c in enumerate(cells):
+                    whole = page and i == 0
+                    v = judge_cell(c, whole)
+                    if v is None and says_little(c) and (whole or is_foreign(c, slug, low)):
+                        v = "filler"
+                    if v and v != "weak":
+                        reason = reason or v
+                    plain = _plain(c)
+                    if v == "weak":
+                        units += [(_unit("weak", s.strip()), "weak", not any(t in slug for t in _terms(low)), None, ()) for s in SENTENCE.split(plain) if len(s.split()) > 2]
+                    if 2 < len(plain.split()) and len(c.split()) <= SHORT and not all(x.startswith("#") for x in c.split("\n") if x.strip()):
+                        # headings alone are titles
+                        if whole:
+                            units.append((_unit("page", " ".join(plain.split())), "page", not any(t in slug for t in _terms(low)), None, ()))
+                        else:
+                            other = [m for m in marks[:2] if m != _unit("around", c.strip())]
+                            around = _unit("title", title) if title is not None and title not in c.split("\n") else other[0] if other else _unit("host", repo or "")
+                            foreign, words = is_foreign(c, slug, low), c.lower().split()
+                            slots = tuple(_unit("slot", " ".join([*words[:j], "", *words[j + 1 :]])) for j in range(len(words))) if foreign else ()
+                            units.append((_unit("cell", " ".join(words)), "cell", foreign, around, slots))
+                if reason or units:
+                    rows.append((doc, repo, reason, [dict(zip(("unit", "kind", "foreign", "around", "slots"), u)) for u in dict.fromkeys(units)]))
+            kinds = (b.schema.field(0).type, pa.string(), pa.string(), pa.list_(unit))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["doc_id", "host", "reason", "units"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, host string, reason string, mismatch boolean, units array<bigint>")
+    return src.mapInArrow(run, f"doc_id {kind}, host string, reason string, units array<struct<unit: bigint, kind: string, foreign: boolean, around: bigint, slots: array<bigint>>>")
 
 
 def find_residue(docs: DataFrame, hosts: int = 3) -> DataFrame:
@@ -196,26 +235,55 @@ def find_residue(docs: DataFrame, hosts: int = 3) -> DataFrame:
 
     Reasons: 'placeholder' - an unfilled field as a line of a text cell; 'filler', 'error',
     'script' - at least half of a text cell is filler, an error page or a notice that scripts
-    are needed; 'duplicate' - a page or cell that only looks like one (markup, an error
-    title), whose address shares no word with it and whose sentence stands the same way
-    under `hosts` or more hosts, or a whole text of at most 60 words in any wording that is no
-    notebook and, digits aside, stands under as many. Code, outputs, tracebacks, fenced blocks and words within a
-    sentence of the notebook are no residue.
+    are needed, by lists of phrases, or it repeats a few words that occur nowhere else in the document; 'duplicate' - a
+    response in any wording which stands under several hosts and has nothing to do with where it stands:
+      a short text cell (at most SHORT words, no heading): its terms are compared with the
+      address slug, the titles and the body around it. Of the hosts and surroundings it stands in (copies of a
+      notebook count once), each where it shares no term counts for residue and each other one against, by how
+      often the corpus' other cells share none; it is residue if this is ODDS times likelier for residue than for any
+      of the units looked at (about six hosts without a common term), unless it comes with the same
+      other cell under half of its hosts, which are then copies of one notebook, or differs from two other
+      such cells in one word, which is then a sentence filled in for its notebook;
+      a short whole text, or a sentence of a cell in the form of an error page: under `hosts` or
+      more hosts, where its address shares no term with it.
+    Code, outputs, tracebacks, fenced blocks and words within a sentence of the notebook are no residue.
 
     Cases: null, empty and blank texts are none; a notebook whose JSON is broken is read as
-    one text; null repo or path give no words and hence a mismatch; repeated rows are judged
+    one text; null repo or path give no words and hence no common term; repeated rows are judged
     alike and give one row; an empty table gives an empty table; missing repo or path columns count as null,
     other columns play no part. Texts are judged whole.
 
-    Plan: one pass over the texts, whose few hints go to a table in the shared checkpoint folder; their
-    sentence hashes are counted over distinct hosts with map-side aggregation.
+    Plan: one pass over the texts, whose hashes go to a table in the shared checkpoint folder; they
+    are counted over distinct hosts with map-side aggregation, so a unit under many hosts is spread by host first.
     """
     seen = cut(residue_evidence(docs))
     strong = seen.filter("reason is not null").select("doc_id", "reason")
-    weak = seen.filter("reason is null").select("doc_id", "host", "mismatch", F.explode(F.array_distinct("units")).alias("unit"))
-    common = weak.groupBy("unit").agg(F.count_distinct("host").alias("n")).filter(F.col("n") >= hosts).select("unit")
-    same = weak.filter("mismatch").join(common, "unit", "left_semi").select("doc_id", F.lit("duplicate").alias("reason"))
-    return strong.unionByName(same).groupBy("doc_id").agg(F.min("reason").alias("reason"))
+    units = seen.select("doc_id", "host", F.explode("units").alias("u")).select("doc_id", "host", "u.*")
+    by_host = units.filter("host is not null").groupBy("unit", "kind", "host").agg(F.min("foreign").alias("foreign"), F.min("around").alias("around"), F.count_if("foreign").alias("own_x"), F.count(F.lit(1)).alias("own_n"))
+    # copies of a notebook say as much as one: of hosts with the same surroundings one counts
+    by_place = by_host.groupBy("unit", "kind", F.coalesce("around", F.xxhash64("host")).alias("around")).agg(F.min("foreign").alias("foreign"), F.sum("own_x").alias("own_x"), F.sum("own_n").alias("own_n"))
+    count = by_place.groupBy("unit", "kind").agg(F.sum("own_x").alias("own_x"), F.sum("own_n").alias("own_n"), F.count(F.lit(1)).alias("n"), F.sum(F.col("foreign").cast("int")).alias("x")).filter(F.col("n") >= hosts)
+    # how often the other cells are foreign (a quarter where there are none), and how many units are looked at: two rows
+    rate = units.filter("kind = 'cell'").agg(F.count_if("foreign").alias("all_x"), F.count(F.lit(1)).alias("all_n"))
+    tried = count.agg(F.count_if(F.col("kind") == "cell").alias("tried"))
+    count = count.join(F.broadcast(rate), F.lit(True), "left").join(F.broadcast(tried), F.lit(True), "left")
+    p = F.least((F.col("all_x") - F.col("own_x") + 1) / (F.col("all_n") - F.col("own_n") + 4), F.lit(0.9))
+    odds = F.col("x") * F.log(FOREIGN / p) + (F.col("n") - F.col("x")) * F.log((1 - FOREIGN) / (1 - p))
+    count = cut(count.filter((F.col("kind") != "cell") | (odds >= F.log(ODDS * F.col("tried")))).select("unit", "kind"))
+    # a cell that mostly comes with the same other cell is part of a notebook that was copied with changes
+    cells = units.filter("kind = 'cell' and host is not null").select("doc_id", "host", "unit")
+    mine = cells.join(count.filter("kind = 'cell'").select("unit"), "unit", "left_semi")
+    pairs = mine.join(cells.select("doc_id", F.col("unit").alias("other")), "doc_id").groupBy("unit", "other", "host").agg(F.lit(1).alias("one")).groupBy("unit", "other").agg(F.count("one").alias("n"))
+    copied = pairs.groupBy("unit").agg(F.max(F.when(F.col("unit") == F.col("other"), F.col("n"))).alias("all"), F.max(F.when(F.col("unit") != F.col("other"), F.col("n"))).alias("most")).filter(F.col("most") >= F.col("all") / 2).select("unit", F.lit("cell").alias("kind"))
+    # one of many cells that differ in one word is a sentence with a slot, written for its notebook
+    slots = units.filter("kind = 'cell' and foreign").select("unit", F.explode("slots").alias("slot")).distinct()
+    filled = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter("n > 2").select("slot")
+    slotted = slots.join(filled, "slot", "left_semi").select("unit", F.lit("cell").alias("kind")).distinct()
+    common = count.join(copied, ["unit", "kind"], "left_anti").join(slotted, ["unit", "kind"], "left_anti")
+    same = units.filter("foreign").join(common, ["unit", "kind"], "left_semi").select("doc_id", F.lit("duplicate").alias("reason"))
+    # reasons of the text itself come first
+    all_ = strong.withColumn("rank", F.lit(0)).unionByName(same.withColumn("rank", F.lit(1)))
+    return all_.groupBy("doc_id").agg(F.min(F.struct("rank", "reason")).alias("r")).select("doc_id", "r.reason")
 
 
 def without_residue(docs: DataFrame) -> DataFrame:

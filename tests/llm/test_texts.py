@@ -146,6 +146,30 @@ def test_duplicated_pages(spark):
     assert residue.find_residue(df.filter("doc_id < 2")).count() == 0
 
 
+def test_repeated_cells_of_any_wording(spark):
+    rng = random.Random(4)
+    words = [a + b for a in ("ta", "mo", "re", "li", "su", "ko") for b in ("nder", "pple", "stic", "mbra", "gola", "vern")]
+    pick = lambda n: " ".join(rng.sample(words, n))
+    book = "# %% [markdown]\n# {}\n\n# %% [markdown]\n{}\n\n# %% In[1]\n{}\n\n# %% [markdown]\n{}\n"
+    canned = "The harbour gate stays shut tonight."
+    rows = []
+    for i in range(40):
+        topic = pick(4)
+        rows.append((i, f"owner{i}/{pick(1)}", f"{topic.split()[0]}.ipynb", book.format(topic, topic + " and " + pick(3), topic.split()[1] + " = 1", canned if i < 6 else topic + " again")))
+    # a notebook copied under six hosts, and one sentence filled in
+    copied = book.format(pick(3), pick(5), "x = 1", "Nothing here belongs together whatsoever.")
+    rows += [(100 + i, f"copier{i}/x", "y.ipynb", copied) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, repo string, path string, text string")
+    assert {tuple(r) for r in residue.find_residue(df).collect()} == {(i, "duplicate") for i in range(6)}
+    assert residue.find_residue(df.filter("doc_id > 3 and doc_id < 50")).count() == 0
+
+
+def test_cells_that_say_little():
+    assert residue.says_little("blah, blah, yada, blah blah, bla bla, blah, yada") and not residue.says_little("no no no") and not residue.says_little(OWN)
+    text = "# yada study\n\nblah yada blah yada blah yada blah yada\n"
+    assert not residue.is_foreign("blah yada blah", "x/y.ipynb", text) and not residue.is_foreign("blah", "blah/y.ipynb", "blah") and residue.is_foreign("", "", "")
+
+
 @pytest.mark.parametrize("text, n", [("# %% [markdown]\na\n# %% In[1]\nb\n# %% [markdown]\nc\n", 2), ("plain", 1), ('{"cells": [', 1), ("In [1]:\nx", 0)])
 def test_cells(text, n):
     assert len(residue.text_cells(text)) == n
