@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,36 +26,35 @@ LEET = str.maketrans("013457@$", "oieastas")
 TAIL_WORDS = ("lyrics", "single", "official", "audio", "video")
 
 
+def _code(gram: str) -> int:
+    """Up to three characters as one number, exactly."""
+    a, b, c = (gram + "\0\0")[:3]
+    return ord(a) << 42 | ord(b) << 21 | ord(c)
+
+
+def _trigrams(texts: Iterable[str]) -> list[int]:
+    found: set[str] = set()
+    for s in texts:
+        found |= {s[i : i + 3] for i in range(len(s) - 2)} if len(s) > 2 else {s} - {""}
+    return sorted(map(_code, found))
+
+
 def _grams(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
-    for pair in zip(a, b):
-        found: set[str] = set()
-        for t in pair:
-            s = re.sub(r"[\W_]+", "", fold_text(t or ""))
-            found |= {s[i : i + 3] for i in range(len(s) - 2)} if len(s) > 2 else {s} - {""}
-        out.append(sorted(found))
-    return pd.Series(out)
+    return pd.Series([_trigrams(re.sub(r"[\W_]+", "", fold_text(t or "")) for t in pair) for pair in zip(a, b)])
 
 
 def grams(a: Column, b: Column) -> Column:
-    """Distinct character trigrams of the letters of each text (folded); texts under three letters count as one."""
-    return F.pandas_udf(_grams, "array<string>")(a, b)
+    """Distinct character trigrams, as numbers, of the letters of each text (folded); texts under three letters count as one."""
+    return F.pandas_udf(_grams, "array<bigint>")(a, b)
 
 
 def _bones(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
-    for pair in zip(a, b):
-        found: set[str] = set()
-        for t in pair:
-            s = skeleton(_plain(t or "").replace(" ", ""))
-            found |= {s[i : i + 3] for i in range(len(s) - 2)} if len(s) > 2 else {s} - {""}
-        out.append(sorted(found))
-    return pd.Series(out)
+    return pd.Series([_trigrams(skeleton(_plain(t or "").replace(" ", "")) for t in pair) for pair in zip(a, b)])
 
 
 def bones(a: Column, b: Column) -> Column:
     """Distinct trigrams of the consonants and digits of each text as _plain reads it; texts under three of them count as one."""
-    return F.pandas_udf(_bones, "array<string>")(a, b)
+    return F.pandas_udf(_bones, "array<bigint>")(a, b)
 
 
 def similarity_pairs(left: DataFrame, right: DataFrame, at_least: float) -> DataFrame:
@@ -275,18 +274,20 @@ def _jaccard(song: str, artist: str, title: str, credits: Iterable[str]) -> floa
     return max(len(a & b) / max(1, len(a | b)) for b in sets)
 
 
-def map_entries(entries: DataFrame, catalogue: DataFrame, at_least: float = 0.3, bones_at_least: float = 0.25) -> DataFrame:
+def map_entries(entries: DataFrame, catalogue: DataFrame, at_least: tuple[float, ...] = (0.6, 0.3), bones_at_least: float = 0.25) -> DataFrame:
     """(entry_id, recording_id, jaccard, cost): for each row of `entries` the recording of `catalogue` meant, or 'NONE'.
 
-    Candidates come from two prefix-filter set-similarity joins over song and artist together
-    (so places may be changed): on character trigrams, and on trigrams of the consonants, since
-    dropped vowels beside an initial, a slip or a surname alone leave few of the former. Each
-    recording is also under its credit's first name, since guests may be left out. The
-    jaccard given is that of the character trigrams, exact also for pairs of the second join.
-    A recording that fits but is below both thresholds is not found.
-    Of these the one whose title and credit both fit (typing errors word by word, initials,
-    'Last, First', dropped vowels or ends, version marks) at the least cost is kept; ties go
-    to the higher Jaccard similarity, then the smaller recording_id.
+    Candidates come from prefix-filter set-similarity joins of character trigrams over song and
+    artist together (so places may be changed), first at the highest threshold; entries for which no candidate fits go on to
+    the next, and last to a join on trigrams of the consonants, since dropped vowels beside an
+    initial, a slip or a surname alone leave few of the former. Each
+    recording is also under its credit's first name, since guests may be left out.
+    A candidate fits if title and credit both do (typing errors word by word, initials,
+    'Last, First', dropped vowels or ends, version marks). Of those that fit the one with the highest exact Jaccard
+    similarity of the character trigrams is kept; ties go to the least cost of the differences, then the
+    smaller recording_id. An entry that has a fit at one threshold can have no better one below it, so the
+    stages give what the lowest threshold alone would. A recording that fits but is below both
+    last thresholds is not found.
 
     Cases: a null or blank song or artist gives 'NONE'; null titles or credits of the catalogue
     match nothing; repeated entries each get their row, equal texts are matched once; an empty
@@ -297,32 +298,41 @@ def map_entries(entries: DataFrame, catalogue: DataFrame, at_least: float = 0.3,
     """
     given = entries.select("entry_id", F.trim(F.coalesce("song", F.lit(""))).alias("song"), F.trim(F.coalesce("artist", F.lit(""))).alias("artist"))
     distinct = given.filter((F.length("song") > 0) & (F.length("artist") > 0)).select("song", "artist").distinct()
-    distinct = cut(distinct.select(F.xxhash64("song", "artist").alias("id1"), F.xxhash64("artist", "song", F.lit(1)).alias("id2"), "song", "artist"))
+    distinct = cut(distinct.select(F.struct(F.xxhash64("song", "artist").alias("id1"), F.xxhash64("artist", "song", F.lit(1)).alias("id2")).alias("id"), "song", "artist"))
     known = catalogue.select("recording_id", "title", "artist_credit").filter("recording_id is not null and title is not null and artist_credit is not null").distinct()
     alone = F.split(F.regexp_replace("artist_credit", GUEST, ""), r"\s*[&;/]\s*|,\s+")[0]
-    known = known.withColumn("forms", F.array_distinct(F.array(F.col("artist_credit"), alone)))
+    known = cut(known.withColumn("forms", F.array_distinct(F.array(F.col("artist_credit"), alone))))
     formed = known.select("recording_id", "title", F.posexplode("forms").alias("form", "credit"))
+    stages = [(grams, t, None) for t in at_least] + [(bones, bones_at_least, at_least[-1])]
+    found, left = [], distinct
+    for tokens, t, seen in stages:
+        have = cut(left.select("id", tokens(F.col("song"), F.col("artist")).alias("tokens")).filter(F.size("tokens") > 0))
+        names = formed.select(F.struct("recording_id", "form").alias("id"), tokens(F.col("title"), F.col("credit")).alias("tokens")).filter(F.size("tokens") > 0)
+        pairs = similarity_pairs(have, names, t).groupBy(F.col("l").alias("id"), F.col("r.recording_id").alias("recording_id")).agg(F.max("jaccard").alias("jaccard"))
+        best = cut(best_fit(pairs.join(left, "id").join(known, "recording_id"), seen))
+        found.append(best)
+        left = cut(left.join(best.select("id"), "id", "left_anti"))
+    best = reduce(DataFrame.unionByName, found).drop("id")
+    out = given.join(best, ["song", "artist"], "left")
+    return out.select("entry_id", F.coalesce("recording_id", F.lit(NONE)).alias("recording_id"), "jaccard", "cost")
+
 
-    def near(tokens: Callable[[Column, Column], Column], t: float) -> DataFrame:
-        left = distinct.select(F.struct("id1", "id2").alias("id"), tokens(F.col("song"), F.col("artist")).alias("tokens")).filter(F.size("tokens") > 0)
-        right = formed.select(F.struct("recording_id", "form").alias("id"), tokens(F.col("title"), F.col("credit")).alias("tokens")).filter(F.size("tokens") > 0)
-        return similarity_pairs(left, right, t).select(F.col("l.id1").alias("id1"), F.col("l.id2").alias("id2"), F.col("r.recording_id").alias("recording_id"), "jaccard")
+def best_fit(pairs: DataFrame, seen: float | None) -> DataFrame:
+    """id, song, artist and of its candidates the one that fits with the highest Jaccard similarity: recording_id, jaccard, cost.
 
-    pairs = near(grams, at_least).unionByName(near(bones, bones_at_least).withColumn("jaccard", F.lit(None).cast("double")))
-    pairs = pairs.groupBy("id1", "id2", "recording_id").agg(F.max("jaccard").alias("jaccard"))
-    pairs = pairs.join(distinct, ["id1", "id2"]).join(known, "recording_id")
+    seen: the similarities given are not of character trigrams, which are computed here; pairs that reach `seen` in these were tried before.
+    """
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            p["cost"] = [entry_cost(*x) for x in zip(p["song"], p["artist"], p["title"], p["artist_credit"])]
-            p["cost"] = p["cost"].astype(float)
-            p = p[p["cost"].notna()].copy()
-            p["jaccard"] = [_jaccard(s, a, t, f) if pd.isna(j) else j for s, a, t, f, j in zip(p["song"], p["artist"], p["title"], p["forms"], p["jaccard"])]
-            p["jaccard"] = p["jaccard"].astype(float)
-            yield p[["song", "artist", "recording_id", "jaccard", "cost"]]
-
-    fits = pairs.mapInPandas(fit, "song string, artist string, recording_id string, jaccard double, cost double")
-    best = fits.groupBy("song", "artist").agg(F.min(F.struct("cost", (-F.col("jaccard")).alias("far"), "recording_id")).alias("b"))
-    best = best.select("song", "artist", F.col("b.recording_id").alias("recording_id"), (-F.col("b.far")).alias("jaccard"), F.col("b.cost").alias("cost"))
-    out = given.join(best, ["song", "artist"], "left")
-    return out.select("entry_id", F.coalesce("recording_id", F.lit(NONE)).alias("recording_id"), "jaccard", "cost")
+            if seen is not None:
+                p["jaccard"] = [_jaccard(*x) for x in zip(p["song"], p["artist"], p["title"], p["forms"])]
+                p = p[p["jaccard"] < seen]
+            cost = [entry_cost(*x) for x in zip(p["song"], p["artist"], p["title"], p["artist_credit"])]
+            p = p.assign(cost=pd.Series(cost, index=p.index, dtype=float))
+            yield p.loc[p["cost"].notna(), ["id1", "id2", "song", "artist", "recording_id", "jaccard", "cost"]]
+
+    rows = pairs.select("id.id1", "id.id2", "song", "artist", "recording_id", "title", "artist_credit", "forms", "jaccard")
+    fits = rows.mapInPandas(fit, "id1 bigint, id2 bigint, song string, artist string, recording_id string, jaccard double, cost double")
+    best = fits.groupBy(F.struct("id1", "id2").alias("id")).agg(F.min(F.struct((-F.col("jaccard")).alias("far"), "cost", "recording_id", "song", "artist")).alias("b"))
+    return best.select("id", "b.song", "b.artist", "b.recording_id", (-F.col("b.far")).alias("jaccard"), "b.cost")
