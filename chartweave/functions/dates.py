@@ -18,25 +18,28 @@ def parse_date(c: Column, form: str) -> Column:
     return F.when(y.isNotNull(), F.format_string("%04d-%02d-%02d", year, m, d).try_cast("date"))
 
 
+# fixed values: the date in a file name, the sentence that announces a chart, the time of a post
+FILE_DATE = r"(\d{4})-(\d{2})-(\d{2})_\d+"
+ANNOUNCED = r"(?i)chart dated ([A-Za-z]+) (\d{1,2})[a-z]{2}, (\d{4})"
+POSTED = r"^\w{3} (\w{3} \d{2} \d{2}:\d{2}:\d{2}) [+-]\d{4} (\d{4})$"
+
+
 def file_date(name: Column) -> Column:
     """Date of an image or table file named ..YYYY-MM-DD_n.., as mm/dd/yy; '' without one."""
-    at = r"(\d{4})-(\d{2})-(\d{2})_\d+"
-    y, m, d = (F.regexp_extract(name, at, i) for i in (1, 2, 3))
+    y, m, d = (F.regexp_extract(name, FILE_DATE, i) for i in (1, 2, 3))
     return F.when(y != "", F.concat_ws("/", m, d, F.substring(y, 3, 2))).otherwise(F.lit(""))
 
 
 def announced_date(text: Column) -> Column:
     """The date after 'chart dated' in a post ('August 23rd, 2025'), in any letter case; null without one."""
-    at = r"(?i)chart dated ([A-Za-z]+) (\d{1,2})[a-z]{2}, (\d{4})"
-    month, day, year = (F.regexp_extract(text, at, i) for i in (1, 2, 3))
+    month, day, year = (F.regexp_extract(text, ANNOUNCED, i) for i in (1, 2, 3))
     return F.try_to_date(F.when(month != "", F.concat_ws(" ", F.initcap(month), day, year)), "MMMM d yyyy")
 
 
 def posted_at(c: Column) -> Column:
     """Time of a post like 'Fri Oct 27 08:25:09 +0000 2023'; the offset is left out, not applied; null if it can't be read."""
-    at = r"^\w{3} (\w{3} \d{2} \d{2}:\d{2}:\d{2}) [+-]\d{4} (\d{4})$"
-    text = F.concat_ws(" ", F.regexp_extract(c, at, 1), F.regexp_extract(c, at, 2))
-    return F.try_to_timestamp(F.when(c.rlike(at), text), F.lit("MMM dd HH:mm:ss yyyy"))
+    text = F.concat_ws(" ", F.regexp_extract(c, POSTED, 1), F.regexp_extract(c, POSTED, 2))
+    return F.try_to_timestamp(F.when(c.rlike(POSTED), text), F.lit("MMM dd HH:mm:ss yyyy"))
 
 
 def month_folder(d: Column) -> Column:

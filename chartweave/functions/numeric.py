@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,24 +24,29 @@ def repair_change(c: Column) -> Column:
     return F.when(blank(c), F.lit("")).otherwise(fixed)
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value) with the value worked out once and named, not written out at every use."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def repair_number(c: Column) -> Column:
     """Digits of a number without separators; k and m at the end are multiplied out in floating point and cut off
     ('8.2M' is '8199999'); text without a digit stays as it is."""
-    t = F.translate(F.regexp_replace(strip(c), "[, ]", ""), MISREAD, DIGITS)
-    head = F.substring(t, F.lit(1), F.length(t) - 1)
-    first = F.regexp_extract(head, r"(\d+\.?\d*)", 1)
-    value = F.when(head.rlike(NUMBER), head.try_cast("double")).otherwise(first.try_cast("double"))
 
-    def times(factor: int) -> Column:
+    def scaled(t: Column) -> Column:
+        head = F.substring(t, F.lit(1), F.length(t) - 1)
+        first = F.regexp_extract(head, r"(\d+\.?\d*)", 1)
+        value = F.when(head.rlike(NUMBER), head).otherwise(first).try_cast("double") * F.when(t.rlike("[kK]$"), 1_000).otherwise(1_000_000)
         # beyond the whole numbers of 64 bits the text stays as it is
-        n = value * factor
-        return F.when(value.isNotNull() & (F.abs(n) < 9.2e18), n.cast("bigint").cast("string")).otherwise(t)
+        return F.coalesce(_once(value, lambda n: F.when(F.abs(n) < 9.2e18, n.cast("bigint").cast("string"))), t)
 
-    bare = F.regexp_replace(t, r"[^\d.]", "")
-    fixed = F.when(t.rlike("[kK]$"), times(1000)).when(t.rlike("[mM]$"), times(1_000_000))
-    fixed = fixed.when(t.rlike(r"\d[a-zA-Z]$"), F.regexp_extract(t, r"(\d+\.?\d*)", 1))
-    fixed = fixed.when(bare != "", bare).otherwise(t)
-    return F.when(blank(c), F.lit("")).otherwise(fixed)
+    def fixed(t: Column) -> Column:
+        bare = F.regexp_replace(t, r"[^\d.]", "")
+        out = F.when(t.rlike("[kKmM]$"), scaled(t)).when(t.rlike(r"\d[a-zA-Z]$"), F.regexp_extract(t, r"(\d+\.?\d*)", 1))
+        return out.otherwise(F.coalesce(F.nullif(bare, F.lit("")), t))
+
+    text = F.translate(F.regexp_replace(strip(c), "[, ]", ""), MISREAD, DIGITS)
+    return F.when(blank(c), F.lit("")).otherwise(_once(text, fixed))
 
 
 def rank_number(c: Column) -> Column:

@@ -15,6 +15,9 @@ REMARKS = ("remix", r"radio\s+edit", "live", "acoustic", "instrumental")
 # fixed value: words that mark a cell as chart furniture
 FURNITURE = "chart|total|points|sales|streams|airplay|week"
 
+# fixed value: words that begin the guests of a credit
+GUEST = r"(?iU)\b(feat\.?|featuring|ft\.?)\b"
+
 SPACE = r"(?U)\s+"
 
 
@@ -40,7 +43,7 @@ def normalize_credit(c: Column) -> Column:
 
     Not idempotent: an existing 'feat.' keeps its dot beside the new one ('feat..').
     """
-    t = F.regexp_replace(c, r"(?iU)\b(feat\.?|featuring|ft\.?)\b", "feat.")
+    t = F.regexp_replace(c, GUEST, "feat.")
     t = F.regexp_replace(t, r"(?U)\s+&\s+", " and ")
     for kind in REMARKS:
         t = F.regexp_replace(t, rf"(?iU)\s*\([^)]*{kind}[^)]*\)", "")

@@ -9,7 +9,7 @@ from chartweave.functions import similarity as sim
 from chartweave.functions.dates import announced_date, file_date, month_folder, parse_date, posted_at
 from chartweave.functions.keys import combo_hash as hash_of
 from chartweave.functions.numeric import rank_number, repair_change, repair_number
-from chartweave.functions.text import ACCENTED, PLAIN, comparison_text, likely_song, normalize_credit, normalize_text, search_text, split_change, valid_pair
+from chartweave.functions.text import ACCENTED, FURNITURE, PLAIN, comparison_text, likely_song, normalize_credit, normalize_text, search_text, split_change, valid_pair
 from chartweave.operators import cluster, counts, merge, ordering, resolve, rows
 from chartweave.schema import RAW_COLUMNS
 from chartweave.session import table
@@ -292,7 +292,7 @@ def flattened_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 _VALID = f"NOT {blank_sql('song')} AND NOT {blank_sql('artist')}"
-_LIKELY = " AND ".join(f"NOT regexp_matches(lower({c}), 'chart|total|points|sales|streams|airplay|week') AND length({strip_sql(c)}) >= 2 AND NOT regexp_full_match({strip_sql(c)}, '[0-9]+')" for c in ("song", "artist"))
+_LIKELY = " AND ".join(f"NOT regexp_matches(lower({c}), '{FURNITURE}') AND length({strip_sql(c)}) >= 2 AND NOT regexp_full_match({strip_sql(c)}, '[0-9]+')" for c in ("song", "artist"))
 
 
 @query(f"SELECT song, artist, min(raw_id) AS first, count(*) AS n FROM chart_raw WHERE {_VALID} AND {_LIKELY} GROUP BY song, artist")
