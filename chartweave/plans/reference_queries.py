@@ -93,6 +93,26 @@ def quick_sql(a: str, b: str) -> str:
     return f"CASE WHEN {x} = {y} THEN 100.0 WHEN {p} = {q} THEN 95.0 ELSE 0.8 * ({edit}) + {inside} END"
 
 
+def ratio_sql(a: str, b: str) -> str:
+    """indel_ratio: the longest common subsequence with bits in parallel, texts of up to 120 characters."""
+    places = f"list_transform(string_split({b}, ''), lambda ch: coalesce(list_sum(list_transform(range(length({a})), lambda i: CASE WHEN {a}[i + 1] = ch THEN 1::HUGEINT << i ELSE 0::HUGEINT END)), 0)::HUGEINT)"
+    full = f"((1::HUGEINT << length({a})) - 1)"
+    row = f"list_reduce(list_prepend({full}, {places}), lambda v, m: ((v + (v & m)) | (v & xor(m, {full}))) & {full})"
+    lcs = f"(length({a}) - bit_count({row}))"
+    return f"CASE WHEN length({a}) = 0 AND length({b}) = 0 THEN 100.0 WHEN length({a}) = 0 OR length({b}) = 0 THEN 0.0 ELSE 200.0 * {lcs} / (length({a}) + length({b})) END"
+
+
+def standard_sql(name: str, src: str, value: str, threshold: float, by: str = "''") -> str:
+    """CTEs `name` (by, variant, standard) of greedy leader clustering of `value` in rows src (raw_id, song, artist): one step per value, in order."""
+    return f"""{name}_v AS (SELECT *, row_number() OVER (ORDER BY first) k FROM (SELECT {by} g, {value} v, min(raw_id) first, count(*) n FROM {src} GROUP BY 1, 2)),
+    {name}_p AS (SELECT a.k i, b.k j FROM {name}_v a JOIN {name}_v b ON a.g = b.g AND a.k < b.k AND 2 * least(length(a.v), length(b.v)) >= {threshold} / 100.0 * (length(a.v) + length(b.v)) - 1e-9 WHERE {ratio_sql('a.v', 'b.v')} >= {threshold}),
+    {name}_n AS (SELECT k, coalesce(list(i) FILTER (i IS NOT NULL), []) near FROM {name}_v LEFT JOIN {name}_p ON k = j GROUP BY k),
+    {name}_s AS (SELECT 0::BIGINT k, []::BIGINT[] leads UNION ALL SELECT n.k, CASE WHEN list_has_any(s.leads, n.near) THEN s.leads ELSE list_append(s.leads, n.k) END FROM {name}_s s JOIN {name}_n n ON n.k = s.k + 1),
+    {name}_l AS (SELECT leads FROM {name}_s ORDER BY k DESC LIMIT 1),
+    {name}_c AS (SELECT v.*, CASE WHEN list_contains(leads, v.k) THEN v.k ELSE list_min(list_intersect(leads, n.near)) END lead FROM {name}_v v JOIN {name}_n n USING (k), {name}_l),
+    {name} AS (SELECT g, v AS variant, first_value(v) OVER (PARTITION BY g, lead ORDER BY n DESC, first) AS standard FROM {name}_c)"""
+
+
 COMBINED_SQL = "CASE WHEN ss = 100 AND sa >= 85 THEN 98.0 WHEN sa = 100 AND ss >= 85 THEN 95.0 WHEN ss >= 95 AND sa >= 95 THEN 96.0 ELSE ss * 0.65 + sa * 0.35 END"
 
 
@@ -371,32 +391,66 @@ def title_similarity(spark: SparkSession, d: str) -> DataFrame:
     return _title_pairs(spark, d).select("ia", "ib", *[F.round(f(a, b), 6).alias(n) for n, f in (("edit", sim.edit_similarity), ("words", sim.word_similarity), ("inside", sim.containment), ("quick", sim.quick_similarity))])
 
 
-@query()
+_E = f"(0.4 * edit + 0.25 * words + 0.2 * lcs + 0.15 * inside)"
+
+
+@query(
+    f"""WITH t AS (SELECT ia, ib, ta, tb, {strip_sql('lower(ta)')} x, {strip_sql('lower(tb)')} y FROM ({_SAME})), p AS (SELECT *, {compare_sql('x')} p, {compare_sql('y')} q FROM t),
+    m AS (SELECT *, CASE WHEN length(p) = 0 OR length(q) = 0 THEN 0.0 ELSE (greatest(length(p), length(q)) - levenshtein(p, q)) / greatest(length(p), length(q)) * 100.0 END edit, list_distinct(list_filter(string_split(p, ' '), lambda w: w <> '')) wp, list_distinct(list_filter(string_split(q, ' '), lambda w: w <> '')) wq,
+        ({ratio_sql('p', 'q')}) * (length(p) + length(q)) / 2.0 / greatest(length(p), length(q), 1) lcs, CASE WHEN least(length(p), length(q)) > 0 AND (contains(p, q) OR contains(q, p)) THEN least(length(p), length(q)) / greatest(length(p), length(q)) * 100.0 ELSE 0.0 END inside FROM p),
+    w AS (SELECT *, CASE WHEN len(wp) + len(wq) = 0 THEN 0.0 ELSE len(list_intersect(wp, wq)) / len(list_distinct(list_concat(wp, wq))) * 100.0 END words FROM m)
+    SELECT ia, ib, round({ratio_sql('ta', 'tb')}, 6) ratio, round(({ratio_sql('ta', 'tb')}) * (length(ta) + length(tb)) / 2.0 / greatest(length(ta), length(tb)), 6) lcs, round(CASE WHEN x = y THEN 100.0 WHEN p = q THEN 95.0 ELSE {_E} END, 6) enhanced FROM w"""
+)
 def title_ratios(spark: SparkSession, d: str) -> DataFrame:
     a, b = F.col("ta"), F.col("tb")
-    return _title_pairs(spark, d).select("ia", "ib", sim.ratio(a, b).alias("ratio"), sim.lcs_similarity(a, b).alias("lcs"), sim.enhanced_similarity(a, b).alias("enhanced"), sim.blended_similarity(a, b).alias("blended"), sim.blended_similarity(a, b, raw=True).alias("blended_raw"))
+    return _title_pairs(spark, d).select("ia", "ib", *[F.round(f(a, b), 6).alias(n) for n, f in (("ratio", sim.ratio), ("lcs", sim.lcs_similarity), ("enhanced", sim.enhanced_similarity))])
+
+
+@query()
+def title_blends(spark: SparkSession, d: str) -> DataFrame:
+    a, b = F.col("ta"), F.col("tb")
+    return _title_pairs(spark, d).select("ia", "ib", sim.blended_similarity(a, b).alias("blended"), sim.blended_similarity(a, b, raw=True).alias("blended_raw"))
 
 
 def _spelled(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "chart_raw").select("raw_id", "song", "artist")
 
 
-@query()
+_RAW = "r0 AS (SELECT raw_id, song, artist FROM chart_raw)"
+
+
+def _artists_sql(src: str, out: str) -> str:
+    known = f"{out}_a AS (SELECT * FROM {src} WHERE length(trim(artist)) > 0)"
+    return f"{known}, {standard_sql(out + '_m', out + '_a', 'artist', 80)}, {out} AS (SELECT raw_id, song, coalesce(standard, artist) artist FROM {src} LEFT JOIN {out}_m ON artist = variant)"
+
+
+def _songs_sql(src: str, out: str) -> str:
+    known = f"{out}_a AS (SELECT * FROM {src} WHERE length(trim(song)) > 0 AND artist IS NOT NULL)"
+    return f"{known}, {standard_sql(out + '_m', out + '_a', 'song', 85, 'artist')}, {out} AS (SELECT raw_id, coalesce(standard, song) song, artist FROM {src} LEFT JOIN {out}_m ON song = variant AND artist = g)"
+
+
+def _both_sql(src: str, out: str) -> str:
+    known = f"{out}_a AS (SELECT *, song || ' | ' || artist w FROM {src} WHERE NOT {blank_sql('song')} AND NOT {blank_sql('artist')}), {out}_b AS (SELECT w, min({{'song': song, 'artist': artist}}) p FROM {out}_a GROUP BY w)"
+    joined = f"SELECT s.raw_id, CASE WHEN a.w IS NOT NULL THEN p.song ELSE s.song END song, CASE WHEN a.w IS NOT NULL THEN p.artist ELSE s.artist END artist FROM {src} s LEFT JOIN {out}_a a USING (raw_id) LEFT JOIN {out}_m ON a.w = variant LEFT JOIN {out}_b ON {out}_b.w = standard"
+    return f"{known}, {standard_sql(out + '_m', out + '_a', 'w', 85)}, {out} AS ({joined})"
+
+
+@query(f"WITH RECURSIVE {_RAW}, {_artists_sql('r0', 'r1')} SELECT * FROM r1")
 def standard_artists(spark: SparkSession, d: str) -> DataFrame:
     return cluster.standardize_artists(_spelled(spark, d), order="raw_id")
 
 
-@query()
+@query(f"WITH RECURSIVE {_RAW}, {_songs_sql('r0', 'r1')} SELECT * FROM r1")
 def standard_songs(spark: SparkSession, d: str) -> DataFrame:
     return cluster.standardize_songs(_spelled(spark, d), order="raw_id")
 
 
-@query()
+@query(f"WITH RECURSIVE {_RAW}, {_both_sql('r0', 'r1')} SELECT * FROM r1")
 def standard_pairs(spark: SparkSession, d: str) -> DataFrame:
     return cluster.standardize_pairs(_spelled(spark, d), order="raw_id")
 
 
-@query()
+@query(f"WITH RECURSIVE {_RAW}, {_artists_sql('r0', 'r1')}, {_songs_sql('r1', 'r2')}, {_both_sql('r2', 'r3')} SELECT * FROM r3")
 def standard_all(spark: SparkSession, d: str) -> DataFrame:
     return cluster.standardize(_spelled(spark, d), order="raw_id")
 
@@ -426,14 +480,20 @@ def resolved_answers(spark: SparkSession, d: str) -> DataFrame:
     return r.select("combo_hash", "c_id", *[F.round(c, 6).alias(c) for c in ("song_score", "artist_score", "score")], "accepted", "reasons")
 
 
-@query()
+@query(
+    f"""WITH c AS (SELECT *, {COMBINED_SQL} score FROM ({_CAND})), e AS (SELECT *, min(CASE WHEN idx >= 10 AND score >= 90 OR idx >= 15 AND score >= 75 THEN idx END) OVER (PARTITION BY combo_hash) stop FROM c),
+    b AS (SELECT *, row_number() OVER (PARTITION BY combo_hash ORDER BY score DESC, idx) k FROM e WHERE score > 0 AND (stop IS NULL OR idx <= stop)) SELECT combo_hash, id AS c_id, round(score, 6) score, ss >= 75 AND sa >= 75 AND score >= 60 AS accepted FROM b WHERE k = 1"""
+)
 def resolved_early_stop(spark: SparkSession, d: str) -> DataFrame:
-    return resolve.resolve_answers(_answers(spark, d), early=True).select("combo_hash", "c_id", "score", "accepted")
+    return resolve.resolve_answers(_answers(spark, d), early=True).select("combo_hash", "c_id", F.round("score", 6).alias("score"), "accepted")
 
 
-@query()
+@query(
+    f"""WITH c AS (SELECT combo_hash, idx, id, lower(song) s, lower(title) t, lower(artist) a, lower(credit) c FROM ({_CAND}) WHERE idx < 3), r AS (SELECT combo_hash, idx, id, (({ratio_sql('s', 't')}) + ({ratio_sql('a', 'c')})) / 2 score FROM c),
+    b AS (SELECT *, row_number() OVER (PARTITION BY combo_hash ORDER BY score DESC, idx) k FROM r WHERE score > 0) SELECT combo_hash, id AS c_id, round(score, 6) score, score >= 85 AS accepted FROM b WHERE k = 1"""
+)
 def resolved_strictly(spark: SparkSession, d: str) -> DataFrame:
-    return resolve.resolve_strict(_answers(spark, d)).select("combo_hash", "c_id", "score", "accepted")
+    return resolve.resolve_strict(_answers(spark, d)).select("combo_hash", "c_id", F.round("score", 6).alias("score"), "accepted")
 
 
 @query(f"SELECT t::DOUBLE AS threshold, count(*) AS pairs, count(*) FILTER (ss >= t AND sa >= t AND score >= 60) AS accepted FROM ({_BEST}), (SELECT unnest([65, 75, 85]) t) GROUP BY t")
@@ -452,7 +512,13 @@ def canonical_names(spark: SparkSession, d: str) -> DataFrame:
     return resolve.apply_names(table(spark, d, "song_entries"), resolve.resolve_answers(_answers(spark, d)), mbid=True).select("entry_id", "song", "artist", "mbid")
 
 
-@query()
+_FIRST = "WITH p AS (SELECT combo_hash, song, artist, idx, title, credit, count(*) OVER (PARTITION BY combo_hash) n, count(*) FILTER (lower(title) = lower(song)) OVER (PARTITION BY combo_hash) same FROM ({0}))"
+
+
+@query(
+    f"""{_FIRST.format(_CAND.replace('WHERE idx < 25', ''))}, q AS (SELECT *, {search_sql('song')} qs, {search_sql('artist')} qa FROM p WHERE idx = 0), g AS (SELECT *, ({quick_sql('qs', 'title')} + {quick_sql('qa', 'credit')}) / 2 quick FROM q)
+    SELECT combo_hash, CASE WHEN same > 0 THEN 1 ELSE 5 END::INTEGER strategy, CASE WHEN same > 0 THEN same ELSE n END::INTEGER found FROM g WHERE same > 0 OR quick >= 35"""
+)
 def chosen_answers(spark: SparkSession, d: str) -> DataFrame:
     a = _answers(spark, d)
     same = F.filter("recordings", lambda r: F.lower(r["title"]) == F.lower(F.col("song")))
