@@ -194,3 +194,31 @@ def test_acts_reenter_with_rare_spellings(spark):
     rows = [(1, "Robert Smith", "Inkwell"), (2, "ROBERT SMITH", "Inkwell"), (3, "Bob Smith", "Compass"), (4, "Barry Smith", "Lantern"), (5, "B. Smith", "Inkwell")]
     df = spark.createDataFrame(rows, "name_id long, artist string, song string")
     assert {r["name_id"]: r["act"] for r in names.resolve_acts(df).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 1}
+
+
+def test_crowded_blocks_give_the_same_acts(spark):
+    rng = random.Random(6)
+    givens, lasts = ["Robert", "Bob", "Rebecca", "Rudolf", "Ruth"], ["Buholow", "Bostoon", "Brimick", "Brocade", "Bulin"]
+    rows = []
+    for i in range(160):
+        g, n = rng.choice(givens), rng.choice(lasts)
+        if rng.random() < 0.3:
+            k = rng.randrange(1, len(n) - 1)
+            n = n[:k] + n[k + 1] + n[k] + n[k + 2 :]
+        rows.append((i, rng.choice([f"{g} {n}", f"{n}, {g}", f"{g[0]}. {n}"]), rng.choice(["Broken Ocean", "Broken Ocaen", "Early Candle", None])))
+    df = spark.createDataFrame(rows, "name_id long, artist string, song string")
+    want = {r["name_id"]: r["act"] for r in names.resolve_acts(df).collect()}
+    assert want == {r["name_id"]: r["act"] for r in names.resolve_acts(df, crowd=3).collect()} and 5 < len(set(want.values())) < 120
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["robert", "bob", "ann", "mei", "buholow", "buhlow", "boholow", "zed", "james", "jim", "a", "b"]), min_size=1, max_size=3), st.lists(st.sampled_from(["robert", "rob", "anne", "mei", "buholow", "buhollow", "bohulow", "zedd", "james", "jmaes", "r", "b"]), min_size=1, max_size=3))
+def test_names_alike_share_keys(a, b):
+    x, y = " ".join(a), " ".join(b)
+    p, q = names.parse_name(x), names.parse_name(y)
+    n = names.compare_names(p, q)
+    if n >= 1:
+        assert names.split_keys(x) & names.split_keys(y)
+    # a slip in the first letter is left to the song
+    if n == 3 and {w[0] for w in p[1]} & {w[0] for w in q[1]} and all(w in q[1] or any(v[0] == w[0] for v in q[1]) for w in p[1]):
+        assert names.name_keys(p) & names.name_keys(q), (p, q)
