@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chartweave.operators.fill import FIELDS, fill_chart_gaps, missing_cells
+from chartweave.operators.records import FIELDS as RECORD_FIELDS
 from chartweave.operators.records import load_records
 from chartweave.operators.spikes import LIMITS, flag_spikes
 from chartweave.operators.units import scaled_cells, unify_units
@@ -19,6 +20,11 @@ def p1_filled(spark: SparkSession, d: str) -> DataFrame:
     return fill_chart_gaps(table(spark, d, "chart_template"))
 
 
+def p1_values(spark: SparkSession, d: str) -> DataFrame:
+    """What p1_filled adds, beside row_id."""
+    return p1_filled(spark, d).select("row_id", *[f"{f}_{x}" for f in FIELDS for x in ("filled", "method", "distance")])
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return load_records(table(spark, d, "raw_lines")).filter("reason is not null").select("line_id", "reason")
 
@@ -28,7 +34,12 @@ def p2_valid(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_failed(spark: SparkSession, d: str) -> DataFrame:
-    return load_records(table(spark, d, "raw_lines")).filter("reason is not null").select("line_id", "src_file", "line_no", "reason", "offset")
+    return load_records(table(spark, d, "raw_lines")).filter("reason is not null").select("line_id", "src_file", "line_no", "reason")
+
+
+def p2_offsets(spark: SparkSession, d: str) -> DataFrame:
+    """Where each failed line breaks."""
+    return load_records(table(spark, d, "raw_lines")).filter("reason is not null").select("line_id", "reason", "offset")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -43,11 +54,16 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return flag_spikes(table(spark, d, "chart_template")).select("row_id", "field")
 
 
+def p7_limits(spark: SparkSession, d: str) -> DataFrame:
+    """The readings that are flagged by rule, which SQL can say."""
+    return p7_flagged(spark, d).filter("reason = 'limit'").select("row_id", "field", "value")
+
+
 def p7_flagged(spark: SparkSession, d: str) -> DataFrame:
     return flag_spikes(table(spark, d, "chart_template"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p2_found, p2_valid, p2_failed, p5_found, p5_counts, p7_found, p7_flagged)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p1_values, p2_found, p2_valid, p2_failed, p2_offsets, p5_found, p5_counts, p7_found, p7_flagged, p7_limits)}
 
 _USABLE = r"""coalesce(try_cast(regexp_extract("{f}", '^[^\p{{L}}\p{{N}}\-−–]*([0-9]+)(?:\.0+)?[^\p{{L}}\p{{N}}\-−–]*$', 1) AS INTEGER) BETWEEN 1 AND {hi}, false)"""
 P1_SQL = " UNION ALL ".join(f"SELECT row_id, '{f}' AS field FROM chart_template WHERE NOT {_USABLE.format(f=f, hi=hi)}" for f, hi in FIELDS.items())
@@ -94,4 +110,66 @@ def p7_rule() -> str:
     return " UNION ALL ".join(parts)
 
 
-SQL: dict[str, str] = {"p1_found": P1_SQL, "p2_found": P2_SQL, "p5_found": P5_SQL}
+def _p1_values_sql() -> str:
+    cell = {f: rf"""try_cast(regexp_extract("{f}", '^[^\p{{L}}\p{{N}}\-−–]*([0-9]+)(?:\.0+)?[^\p{{L}}\p{{N}}\-−–]*$', 1) AS INTEGER)""" for f in FIELDS}
+    own = ", ".join(f"CASE WHEN {c} BETWEEN 1 AND {FIELDS[f]} THEN {c} END AS o_{f}" for f, c in cell.items())
+    song = f"array_to_string(list_sort(string_split({_LETTERS.format(c='song')} || {_LETTERS.format(c='artist')}, '')), '')"
+    seen = lambda f, side: ", ".join(f"last_value(CASE WHEN w_{f} IS NOT NULL THEN {x} END IGNORE NULLS) OVER {side} {side}{k}_{f}" for k, x in (("d", "d"), ("v", f"w_{f}")))
+    guesses, out = [], []
+    for f, hi in FIELDS.items():
+        b, a = f"d - bd_{f}", f"ad_{f} - d"
+        nb, na = f"coalesce({b} <= 84, false)", f"coalesce({a} <= 84, false)"
+        step = ("round(({b}) / 7.0)", "round(({a}) / 7.0)") if f == "weeks_on_chart" else ("0", "0")
+        made = lambda v, m, x: f"{{'v': ({v})::INTEGER, 'm': '{m}', 'x': ({x})::INTEGER}}"
+        if f == "peak":
+            case = f"WHEN {nb} AND (NOT {na} OR {b} <= {a}) THEN {made(f'bv_{f}', 'carried', b)} WHEN {na} THEN {made(f'av_{f}', 'carried', a)}"
+        else:
+            line = f"round(bv_{f} + (av_{f} - bv_{f}) * ({b}) / (({b}) + ({a}))::DOUBLE)"
+            up, down = f"least(bv_{f} + {step[0].format(b=b)}, {hi})", f"greatest(av_{f} - {step[1].format(a=a)}, 1)"
+            case = f"WHEN {nb} AND {na} THEN {made(line, 'interpolated', f'greatest({b}, {a})')} WHEN {nb} THEN {made(up, 'carried', b)} WHEN {na} THEN {made(down, 'carried', a)}"
+        guesses.append(f"CASE WHEN w_{f} IS NOT NULL THEN {made(f'w_{f}', 'same_week', '0')} {case} END g_{f}")
+        filled = f"coalesce(g_{f}.v, c_{f})"
+        if f == "peak":
+            filled = f"CASE WHEN {filled} IS NOT NULL THEN least({filled}, o_rank, w_rank) END"
+        out += [f"coalesce(o_{f}, {filled}) {f}_filled", f"CASE WHEN o_{f} IS NOT NULL THEN 'observed' WHEN g_{f} IS NOT NULL THEN g_{f}.m WHEN c_{f} IS NOT NULL THEN 'chart_median' ELSE 'none' END {f}_method", f"CASE WHEN o_{f} IS NULL THEN g_{f}.x END {f}_distance"]
+    return f"""WITH r AS (SELECT row_id, market, nullif({song}, '') s, {_DAY} - DATE '1970-01-01' d, {own} FROM chart_template),
+    w AS (SELECT market, s, d, {', '.join(f'min(o_{f}) w_{f}' for f in FIELDS)} FROM r WHERE s IS NOT NULL AND d IS NOT NULL GROUP BY 1, 2, 3),
+    c AS (SELECT market, d, {', '.join(f'quantile_disc(w_{f}, 0.5) c_{f}' for f in FIELDS)} FROM w GROUP BY 1, 2),
+    n AS (SELECT *, {', '.join(seen(f, side) for f in FIELDS for side in 'ba')} FROM w
+        WINDOW b AS (PARTITION BY market, s ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a AS (PARTITION BY market, s ORDER BY d DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    g AS (SELECT market, s, d, w_rank, {', '.join(guesses)} FROM n)
+    SELECT row_id, {', '.join(out)} FROM r LEFT JOIN g ON r.market IS NOT DISTINCT FROM g.market AND r.s = g.s AND r.d = g.d LEFT JOIN c ON r.market IS NOT DISTINCT FROM c.market AND r.d = c.d"""
+
+
+P7_LIMITS_SQL = " UNION ALL ".join(
+    f"""SELECT row_id, '{f}' AS field, v AS value FROM (SELECT row_id, try_cast(regexp_replace({f}, '[\\s\\x{{A0}},"'']', '', 'g') AS DOUBLE) v FROM chart_template) WHERE NOT (v BETWEEN {low} AND {high} AND v = floor(v))"""
+    for f, (low, high) in LIMITS.items()
+)
+
+# the fields of a valid line: quotes around a field dropped, doubled ones made single
+_CELLS = f"""list_transform(regexp_extract_all(t || ',', '({_F}),', 1), lambda x: CASE WHEN starts_with(x, '"') THEN replace(substr(x, 2, length(x) - 2), '""', '"') ELSE x END)"""
+_TEXTS = ("song", "artist")
+
+
+def _p2_valid_sql() -> str:
+    bare = r"regexp_replace({c}, '^[\s\x{{A0}}]+|[\s\x{{A0}}]+$', '', 'g')"
+    cells = []
+    for i, name in enumerate(RECORD_FIELDS, 1):
+        c = f"c[{i}]"
+        if name == "chart_date":
+            cells.append(f"coalesce(try_strptime(CASE WHEN regexp_full_match(trim({c}), '[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}') THEN trim({c}) END, '%d-%m-%y'), try_strptime(CASE WHEN regexp_full_match(trim({c}), '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN trim({c}) END, '%Y-%m-%d'))::DATE chart_date")
+        elif name == "rank":
+            cells.append(f"try_cast({bare.format(c=c)} AS INTEGER) rank")
+        elif name == "change":
+            cells.append(f"upper({bare.format(c=c)}) change")
+        elif name in _TEXTS:
+            cells.append(f"{c} {name}")
+        else:
+            cells.append(rf"try_cast(regexp_replace({c}, '[\s\x{{A0}},]', '', 'g') AS DOUBLE) {name}")
+    head, _, _ = P2_SQL.partition("SELECT line_id, reason FROM x")
+    return f"{head} SELECT line_id, src_file, line_no, {', '.join(cells)} FROM (SELECT line_id, {_CELLS} c FROM x JOIN d USING (line_id) WHERE reason IS NULL) JOIN raw_lines USING (line_id)"
+
+
+P2_FAILED_SQL = P2_SQL.replace("SELECT line_id, reason FROM x WHERE", "SELECT line_id, src_file, line_no, reason FROM x JOIN raw_lines USING (line_id) WHERE")
+
+SQL: dict[str, str] = {"p1_found": P1_SQL, "p1_values": _p1_values_sql(), "p2_found": P2_SQL, "p2_valid": _p2_valid_sql(), "p2_failed": P2_FAILED_SQL, "p5_found": P5_SQL, "p7_limits": P7_LIMITS_SQL}
