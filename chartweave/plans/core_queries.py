@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from chartweave.operators.fill import FIELDS, fill_chart_gaps, missing_cells
 from chartweave.operators.records import FIELDS as RECORD_FIELDS
 from chartweave.operators.records import load_records
 from chartweave.operators.spikes import LIMITS, flag_spikes
-from chartweave.operators.units import scaled_cells, unify_units
+from chartweave.operators.units import ALIASES, FACTORS, scaled_cells, unify_units
+from chartweave.operators.units import FIELDS as UNIT_FIELDS
 from chartweave.session import table
 
 
@@ -172,4 +175,33 @@ def _p2_valid_sql() -> str:
 
 P2_FAILED_SQL = P2_SQL.replace("SELECT line_id, reason FROM x WHERE", "SELECT line_id, src_file, line_no, reason FROM x JOIN raw_lines USING (line_id) WHERE")
 
-SQL: dict[str, str] = {"p1_found": P1_SQL, "p1_values": _p1_values_sql(), "p2_found": P2_SQL, "p2_valid": _p2_valid_sql(), "p2_failed": P2_FAILED_SQL, "p5_found": P5_SQL, "p7_limits": P7_LIMITS_SQL}
+def _p5_counts_sql() -> str:
+    """The same reading with regular expressions: the longest alias beside the number, else the one the caption links to the field's name."""
+    quote = lambda w: re.escape(w.replace("|", " ")).replace("'", "''").replace("\\ ", " ")
+    every = sorted((w for ws in ALIASES.values() for w in ws), key=len, reverse=True)
+    units = ", ".join(f"('{w.replace('|', ' ').replace(chr(39), chr(39) * 2)}', '{u}', {FACTORS[u]}::BIGINT)" for u, ws in ALIASES.items() for w in ws)
+    names = "sales|streams|airplay|units"
+    list_ = r"\s*(?:,|;|&|\+|and|und|y|et)(?:\s*(?:and|&|\+))?\s*"
+    link = r"\s*(?:,?\s*(?:which|that)?\s*(?:is|are)?\s*(?:all\s+)?(?:given|printed|shown|counted|stated|expressed|listed|reported)?\s*in(?:\s+the)?|/|:|=|\()\s*"
+    told = rf"((?:{names})(?:{list_}(?:{names}))*){link}({'|'.join(map(quote, every))})(?:$|[^a-z0-9])"
+    space = r"\s\x{A0}\x{2009}\x{202F}"
+    number = rf"[0-9](?:[0-9.,''’{space}]*[0-9])?"
+    scale = "|".join(quote(w) for w in every if w not in ALIASES["one"])
+    after, before = rf"^[ (\t]*({scale})(?:$|[^a-z0-9])", rf"(?:^|[^a-z])({scale})[ .\t]*$"
+    cells = " UNION ALL ".join(f"SELECT raw_id, src_file, '{f}' field, {f} cell FROM chart_raw" for f in UNIT_FIELDS)
+    marks = "regexp_replace(t, '[^.,]', '', 'g')"
+    value = f"""try_cast(CASE WHEN contains({marks}, '.') AND contains({marks}, ',') THEN CASE WHEN right({marks}, 1) = ',' THEN replace(replace(t, '.', ''), ',', '.') ELSE replace(t, ',', '') END
+        WHEN length({marks}) = 1 AND (told_in IS NOT NULL OR length(regexp_extract(t, '[.,]([0-9]*)$', 1)) <> 3) THEN replace(t, ',', '.') ELSE regexp_replace(t, '[.,]', '', 'g') END AS DOUBLE)"""
+    return rf"""WITH a(alias, unit, factor) AS (VALUES {units}),
+    p AS (SELECT src_file, unnest(regexp_extract_all(lower(caption), '{told}')) part FROM chart_captions),
+    q AS (SELECT src_file, regexp_extract(part, '{told}', 1) who, regexp_extract(part, '{told}', 2) alias FROM p),
+    c AS (SELECT src_file, field, max_by(unit, factor) unit, max(factor) factor FROM (SELECT q.*, unnest(list_filter(['sales', 'streams', 'airplay', 'units'], lambda f: contains(who, f))) field FROM q) JOIN a USING (alias) WHERE unit <> 'one' GROUP BY 1, 2),
+    x AS (SELECT *, regexp_extract(cell, '{number}') n FROM ({cells})),
+    y AS (SELECT *, lower(substr(cell, strpos(cell, n) + length(n))) tail, lower(left(cell, strpos(cell, n) - 1)) head FROM x),
+    z AS (SELECT *, coalesce(nullif(regexp_extract(tail, '{after}', 1), ''), nullif(regexp_extract(head, '{before}', 1), '')) alias FROM y),
+    r AS (SELECT raw_id, z.src_file, z.field, cell, regexp_replace(n, '[{space}''’]', '', 'g') t, coalesce(n, '') <> '' has, a.unit own, a.factor f1, c.unit cap, c.factor f2 FROM z LEFT JOIN a ON z.alias = a.alias LEFT JOIN c ON z.src_file = c.src_file AND z.field = c.field),
+    t AS (SELECT *, CASE WHEN has AND own IS NOT NULL THEN 'cell' WHEN has AND cap IS NOT NULL THEN 'caption' END told_in FROM r)
+    SELECT raw_id, src_file, field, cell, CASE WHEN has THEN coalesce(own, cap, 'one') END unit, told_in, CASE WHEN has THEN coalesce(f1, f2, 1)::BIGINT END factor, round({value} * coalesce(f1, f2, 1)) AS count FROM t"""
+
+
+SQL: dict[str, str] = {"p5_counts": _p5_counts_sql(), "p1_found": P1_SQL, "p1_values": _p1_values_sql(), "p2_found": P2_SQL, "p2_valid": _p2_valid_sql(), "p2_failed": P2_FAILED_SQL, "p5_found": P5_SQL, "p7_limits": P7_LIMITS_SQL}
