@@ -5,17 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: formats of chart dates in the order in which they are tried
-FORMATS = ("m/d/y", "d-m-y", "Y-m-d")
-_SHAPE = {"m/d/y": r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "d-m-y": r"^(\d{1,2})-(\d{1,2})-(\d{2})$", "Y-m-d": r"^(\d{4})-(\d{1,2})-(\d{1,2})$"}
-_ORDER = {"m/d/y": (3, 1, 2), "d-m-y": (3, 2, 1), "Y-m-d": (1, 2, 3)}
+# fixed values: formats of chart dates in the order in which they are tried, when merging a folder and when merging folder by folder
+_FIRST, _NEXT = ("m/d/y", "d-m-y", "Y-m-d"), ("d-m-y", "Y-m-d")
+#: Written forms that are tried when no date of a table has one of those above.
+FREE = ("m/d/Y", "Y/m/d", "m-d-Y", "d.m.Y", "Month d, Y", "d Month Y")
+FORMATS, SEQUENTIAL_FORMATS = (*_FIRST, *FREE), (*_NEXT, *FREE)
+_SHAPE = {
+    "m/d/y": r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "d-m-y": r"^(\d{1,2})-(\d{1,2})-(\d{2})$", "Y-m-d": r"^(\d{4})-(\d{1,2})-(\d{1,2})$",
+    "m/d/Y": r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "Y/m/d": r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "m-d-Y": r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "d.m.Y": r"^(\d{1,2})\.(\d{1,2})\.(\d{4})$",
+    "Month d, Y": r"^([A-Za-z]{3})[a-z]* (\d{1,2}),? (\d{4})$", "d Month Y": r"^(\d{1,2}) ([A-Za-z]{3})[a-z]*,? (\d{4})$",
+}
+_ORDER = {"m/d/y": (3, 1, 2), "d-m-y": (3, 2, 1), "Y-m-d": (1, 2, 3), "m/d/Y": (3, 1, 2), "Y/m/d": (1, 2, 3), "m-d-Y": (3, 1, 2), "d.m.Y": (3, 2, 1), "Month d, Y": (3, 1, 2), "d Month Y": (3, 2, 1)}
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
 def parse_date(c: Column, form: str) -> Column:
     """The date in `c` written in one of FORMATS, null otherwise; two-digit years from 69 on are 19xx."""
-    y, m, d = (F.regexp_extract(F.trim(c), _SHAPE[form], i).try_cast("int") for i in _ORDER[form])
+    y, m, d = (F.regexp_extract(F.trim(c), _SHAPE[form], i) for i in _ORDER[form])
+    month = F.array_position(F.array(*map(F.lit, _MONTHS)), F.lower(m)) if "Month" in form else m.try_cast("int")
+    y, d = y.try_cast("int"), d.try_cast("int")
     year = F.when(y >= 100, y).when(y >= 69, y + 1900).otherwise(y + 2000)
-    return F.when(y.isNotNull(), F.format_string("%04d-%02d-%02d", year, m, d).try_cast("date"))
+    return F.when(y.isNotNull(), F.format_string("%04d-%02d-%02d", year, month, d).try_cast("date"))
 
 
 # fixed values: the date in a file name, the sentence that announces a chart, the time of a post

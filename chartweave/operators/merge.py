@@ -70,15 +70,16 @@ def unify_date_text(df: DataFrame, date: str = "chart_date", order: str = "pos")
     return df.join(F.broadcast(first), F.lit(True), "left").withColumn(date, F.when(F.col("__turn"), turned).otherwise(F.col(date))).drop("__turn")
 
 
-def merge_charts(df: DataFrame, file: str = "src_file", pos: str = "pos", id_: str = "raw_id", keep_undated: bool = False) -> DataFrame:
+def merge_charts(df: DataFrame, file: str = "src_file", pos: str = "pos", id_: str = "raw_id", keep_undated: bool = False, forms: tuple[str, ...] = FORMATS) -> DataFrame:
     """The merged charts with date and out_pos, the place within its date, newest dates first when sorted by
     (date desc, out_pos).
 
     Files of one date follow each other by name; within a date rows without a rank keep their
     place and the others stand in order of rank. Rows without a readable date are left out
-    unless keep_undated (or no date of the table can be read).
+    unless keep_undated (or no date of the table can be read). forms: the formats of dates in the
+    order in which they are tried (SEQUENTIAL_FORMATS where each folder is merged by itself).
     """
-    t = with_dates(df).withColumn("__rank", rank_number(F.col("rank")))
+    t = with_dates(df, forms=forms).withColumn("__rank", rank_number(F.col("rank")))
     if not keep_undated:
         any_date = F.max(F.col("date").isNotNull().cast("int")).alias("__any")
         t = t.join(F.broadcast(t.agg(any_date)), F.lit(True)).filter("date is not null or __any = 0").drop("__any")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartweave.functions import similarity as sim
-from chartweave.functions.dates import announced_date, file_date, month_folder, parse_date, posted_at
+from chartweave.functions.dates import SEQUENTIAL_FORMATS, announced_date, file_date, month_folder, parse_date, posted_at
 from chartweave.functions.keys import combo_hash as hash_of
 from chartweave.functions.numeric import rank_number, repair_change, repair_number
 from chartweave.functions.text import ACCENTED, FURNITURE, PLAIN, comparison_text, likely_song, normalize_credit, normalize_text, search_text, split_change, valid_pair
@@ -231,6 +231,19 @@ def dates(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "chart_raw").select("raw_id", day.alias("date"), month_folder(day).alias("month"), file_date(F.col("src_file")).alias("file_date"))
 
 
+@query("""SELECT row_id, CASE WHEN regexp_full_match(trim(chart_date), '[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}') THEN try_strptime(trim(chart_date), '%d-%m-%y')::DATE END "date" FROM chart_template""")
+def sequential_dates(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "chart_template").select("row_id", "chart_date")
+    return merge.with_dates(t, forms=SEQUENTIAL_FORMATS).select("row_id", "date")
+
+
+@query("""SELECT raw_id, try_strptime(trim(chart_date), '%m/%d/%y')::DATE "date" FROM chart_raw""")
+def free_dates(spark: SparkSession, d: str) -> DataFrame:
+    # dates written out, which none of the fixed formats reads
+    t = table(spark, d, "chart_raw").select("raw_id", F.date_format(parse_date(F.col("chart_date"), "m/d/y"), "MMMM d, yyyy").alias("chart_date"))
+    return merge.with_dates(t).select("raw_id", "date")
+
+
 @query(f"SELECT raw_id, {hash_sql('song', 'artist')} combo_hash FROM chart_raw")
 def combo_hash(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "chart_raw").select("raw_id", hash_of(F.col("song"), F.col("artist")).alias("combo_hash"))
@@ -272,6 +285,12 @@ def column_buckets(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", rows.bucket(F.col("value") / 100.0, rows.COLUMN_EDGES).alias("bucket"))
 
 
+@query(f"SELECT event_id, CASE {' '.join(f'WHEN y < {e} THEN {i - 1}' if i else f'WHEN y < {e} THEN NULL' for i, e in enumerate(rows.ROW_EDGES))} END::INTEGER AS row_id FROM (SELECT event_id, value / 100.0 y FROM events) WHERE y >= {rows.ROW_EDGES[0]} AND y < {rows.ROW_EDGES[-1]}")
+def fixed_row_numbers(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").select("event_id", "value")
+    return rows.fixed_rows(e, F.col("value") / 100.0).select("event_id", "row_id")
+
+
 def chart_words(spark: SparkSession, d: str) -> DataFrame:
     """Positioned words that print the charts of chart_raw, with a header row a file."""
     t = table(spark, d, "chart_raw").withColumnsRenamed({"percent_change": "percent"})
@@ -286,13 +305,24 @@ def chart_words(spark: SparkSession, d: str) -> DataFrame:
         top = {"song": 0.0, "artist": 0.012}.get(c, 0.006)
         cells.append(F.struct(F.lit(i).alias("ord"), F.col(c).alias("text"), F.lit(x0).alias("x0"), F.lit(top).alias("dy"), F.lit(x1).alias("x1")))
     w = body.unionByName(head).select("src_file", "pos", F.explode(F.array(*cells)).alias("w")).filter("w.text <> ''")
+    # song and artist stand word by word; before every third rank a stray word is read, of which the last counts
+    stray = (F.col("w.ord") == 0) & (F.col("pos") % 3 == 0)
+    texts = F.when(F.col("w.ord").isin(2, 3), F.filter(F.split("w.text", " "), lambda x: x != "")).otherwise(F.when(stray, F.array(F.lit("~"), F.col("w.text"))).otherwise(F.array("w.text")))
+    w = w.select("src_file", "pos", "w", F.size(texts).alias("n"), F.posexplode(texts).alias("k", "text"))
     y = (F.col("pos") + 1) * 0.05 + F.col("w.dy")
-    return w.select(F.col("src_file").alias("file_name"), F.lit(None).cast("int").alias("image_height"), (F.col("pos") * 20 + F.col("w.ord") + 20).cast("int").alias("ord"), F.col("w.text").alias("text"), F.col("w.x0").alias("x0"), y.alias("y0"), F.col("w.x1").alias("x1"), (y + 0.006).alias("y1"))
+    part = (F.col("w.x1") - F.col("w.x0")) / F.col("n")
+    x0, x1 = F.col("w.x0") + part * F.col("k"), F.col("w.x0") + part * (F.col("k") + 1)
+    # the height of half of the images is known
+    height = F.when(F.pmod(F.xxhash64("src_file"), F.lit(2)) == 0, 1000).cast("int")
+    return w.select(F.col("src_file").alias("file_name"), height.alias("image_height"), ((F.col("pos") + 1) * 5000 + F.col("w.ord") * 200 + F.col("k")).cast("int").alias("ord"), "text", x0.alias("x0"), y.alias("y0"), x1.alias("x1"), (y + 0.006).alias("y1"))
+
+
+_PRINTED = {c: f"array_to_string(list_filter(string_split(coalesce({c}, ''), ' '), lambda x: x <> ''), ' ')" for c in ("song", "artist")}
 
 
 @query(
     f"""SELECT src_file, dense_rank() OVER (PARTITION BY src_file ORDER BY pos) - 1 pos, regexp_replace(regexp_extract(src_file, '\\d{{4}}-\\d{{2}}-\\d{{2}}_\\d+'), '^\\d\\d(\\d\\d)-(\\d\\d)-(\\d\\d)_\\d+$', '\\2/\\3/\\1') chart_date,
-    {', '.join(f'coalesce("{"percent_change" if c == "percent" else c}", {chr(39) * 2}) "{c}"' for c in RAW_COLUMNS[1:])} FROM chart_raw"""
+    {', '.join(f'{_PRINTED[c]} {c}' if c in _PRINTED else f'coalesce("{"percent_change" if c == "percent" else c}", {chr(39) * 2}) "{c}"' for c in RAW_COLUMNS[1:])} FROM chart_raw"""
 )
 def reconstructed_tables(spark: SparkSession, d: str) -> DataFrame:
     return rows.reconstruct_table(chart_words(spark, d))

@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartweave.functions.dates import month_folder
@@ -14,18 +14,21 @@ from chartweave.schema import WORDS, raw_schema
 
 # fixed value: name of the merged file, which is no input
 MERGED = "final_merged_all_dates.csv"
+# fixed values: names of dated images
 IMAGE = r"^(\d{4}-\d{2}-\d{2})_\d+\.jpg"
 DATED_IMAGE = r"(?i)^(\d{4})-(\d{2})-(\d{2})_\d+\.(jpg|jpeg|png)$"
 
 
 def read_charts(spark: SparkSession, path: str, mbid: bool = False) -> DataFrame:
-    """All csv files of a folder but the merged one, every cell a string, with src_file and pos (place in its file).
+    """All csv files of a folder but the merged one, every cell a string, with src_file and pos (place in its file, from 0).
 
-    Files without rows are skipped by Spark; the order of files is that of their names.
+    Files without rows are skipped by Spark; the order of files is that of their names, to be sorted by (src_file, pos).
+    A file is read by one task, so its rows come in their order; one shuffle by file numbers them.
     """
     df = spark.read.schema(raw_schema(mbid)).option("header", True).option("nullValue", "").option("pathGlobFilter", "*.csv").option("multiLine", True).option("escape", '"').csv(path)
-    df = df.select("*", F.col("_metadata.file_name").alias("src_file")).filter(F.col("src_file") != MERGED)
-    return df.withColumn("pos", F.monotonically_increasing_id())
+    df = df.select("*", F.col("_metadata.file_name").alias("src_file"), F.col("_metadata.file_path").alias("__path")).filter(F.col("src_file") != MERGED)
+    within = Window.partitionBy("__path").orderBy("__at")
+    return df.withColumn("__at", F.monotonically_increasing_id()).withColumn("pos", (F.row_number().over(within) - 1).cast("bigint")).drop("__path", "__at")
 
 
 def read_images(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:

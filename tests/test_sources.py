@@ -82,3 +82,14 @@ def test_append_is_repeatable(spark, tmp_path):
 def test_windows(spark, small):
     e = spark.read.parquet(f"{small}/events.parquet")
     assert windowed_counts(e, "ts").agg(F.sum("n")).first()[0] == e.count()
+
+
+def test_places_in_files(spark, tmp_path):
+    from chartweave.schema import RAW_COLUMNS
+
+    (tmp_path / "in").mkdir()
+    for name, n in (("b.csv", 3), ("a.csv", 2), ("final_merged_all_dates.csv", 4)):
+        lines = [",".join(RAW_COLUMNS)] + [f"d,{i},,{name} {i}" + "," * 12 for i in range(n)]
+        (tmp_path / "in" / name).write_text("\n".join(lines) + "\n")
+    rows = files.read_charts(spark, str(tmp_path / "in")).orderBy("src_file", "pos").collect()
+    assert [(r["src_file"], r["pos"], r["song"]) for r in rows] == [(f, i, f"{f} {i}") for f, n in (("a.csv", 2), ("b.csv", 3)) for i in range(n)]
