@@ -31,3 +31,14 @@ def sort_keeping_places(df: DataFrame, by: list[str], rank: str, pos: str, out:
 def chart_order(date: str, rank: str, pos: str) -> list[Column]:
     """Newest first, then rank with missing ones last, then pos; missing dates last."""
     return [F.col(date).desc_nulls_last(), F.col(rank).asc_nulls_last(), F.col(pos).asc_nulls_last()]
+
+
+def number_rows(df: DataFrame, file: str = "src_file", pos: str = "pos", name: str = "raw_id") -> DataFrame:
+    """df with a number for each row that is unique and in the order of (file, pos), from 0; pos counts from 0 in each file.
+
+    Only the files' sizes are put in order, one row a file; the rows themselves aren't sorted.
+    """
+    sizes = df.groupBy(F.col(file).alias("__file")).agg((F.max(pos) + 1).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("__file", F.coalesce(before, F.lit(0)).alias("__start"))
+    return df.join(starts, F.col(file).eqNullSafe(F.col("__file"))).withColumn(name, (F.col("__start") + F.col(pos)).cast("bigint")).drop("__file", "__start")

@@ -73,9 +73,9 @@ def recognize(images: DataFrame, load: Callable[[], Callable[[bytes], list[dict]
     return images.select("path", "content").mapInPandas(run, WORDS)
 
 
-def write_ordered_csv(df: DataFrame, path: str, *order: Column) -> None:
-    """One csv file with header, rows in the order given, without helper columns."""
-    df.repartition(1).sortWithinPartitions(*order).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_ordered_csv(df: DataFrame, path: str, *order: Column, without: tuple[str, ...] = ()) -> None:
+    """One csv file with header, rows in the order given; `without`: columns that only serve the order."""
+    df.repartition(1).sortWithinPartitions(*order).drop(*without).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_xlsx(df: DataFrame, path: str, most: int = 1_048_575) -> bool:

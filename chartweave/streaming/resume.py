@@ -13,11 +13,9 @@ def append_new(batch: DataFrame, path: str, key: str) -> None:
     """Appends the rows of batch whose key isn't in the table at path yet; repeated runs change nothing."""
     spark = batch.sparkSession
     rows = batch.dropDuplicates([key])
-    try:
-        rows = rows.join(spark.read.parquet(path).select(key), key, "left_anti")
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        rows = rows.join(spark.read.schema(batch.schema).parquet(path).select(key), key, "left_anti")
     rows.write.mode("append").parquet(path)
 
 

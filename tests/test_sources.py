@@ -93,3 +93,33 @@ def test_places_in_files(spark, tmp_path):
         (tmp_path / "in" / name).write_text("\n".join(lines) + "\n")
     rows = files.read_charts(spark, str(tmp_path / "in")).orderBy("src_file", "pos").collect()
     assert [(r["src_file"], r["pos"], r["song"]) for r in rows] == [(f, i, f"{f} {i}") for f, n in (("a.csv", 2), ("b.csv", 3)) for i in range(n)]
+
+
+def test_pipeline(spark, tmp_path):
+    import csv
+    import glob
+
+    from chartweave.functions.keys import combo_hash
+    from chartweave.plans.pipeline import run_pipeline
+    from chartweave.schema import RECORDINGS
+
+    (tmp_path / "in").mkdir()
+    charts = {"a.csv": [("08/18/23", "2", "+1", "Anti Hero", "Taylor Swift", "450K"), ("08/18/23", "1", "", "3 Flowers", "Miley Cyrus", "1,000")], "b.csv": [("08/25/23", "1", "new", "Anti-Hero", "taylor swift", "8.2M"), ("08/25/23", "", "", "Anti Hero", "Taylor Swift", "-")]}
+    for name, rows in charts.items():
+        with open(tmp_path / "in" / name, "w", newline="") as f:
+            w = csv.writer(f)
+            w.writerow(RAW_COLUMNS)
+            w.writerows([[d, r, c, s, a, "", "", "", "", x, "", "", "", "", "", ""] for d, r, c, s, a, x in rows])
+    rec = [("m1", "Anti Hero", [(("Taylor Swift",), None)])]
+    answers = spark.createDataFrame([("anti hero", "taylor swift", rec)], "song string, artist string, recordings " + RECORDINGS.simpleString().replace("artist-credit", "`artist-credit`"))
+    answers = answers.withColumn("combo_hash", combo_hash(F.col("song"), F.col("artist")))
+    report = run_pipeline(spark, str(tmp_path / "in"), str(tmp_path / "out"), answers, mbid=True).first()
+    assert (report["rows"], report["pairs_before"], report["pairs_after"], report["accepted"]) == (4, 3, 2, 1)
+    (out,) = glob.glob(str(tmp_path / "out" / "*.csv"))
+    got = list(csv.DictReader(open(out)))
+    assert [(r["chart_date"], r["rank"], r["change"], r["song"], r["artist"], r["sales"], r["mbid"]) for r in got] == [
+        ("08/25/23", "1", "NEW", "Anti Hero", "Taylor Swift", "8199999", "m1"), ("08/25/23", "", "", "Anti Hero", "Taylor Swift", "-", "m1"),
+        ("08/18/23", "1", "+3", "flowers", "miley cyrus", "1000", ""), ("08/18/23", "2", "+1", "Anti Hero", "Taylor Swift", "450000", "m1"),
+    ]
+    (tmp_path / "none").mkdir()
+    assert run_pipeline(spark, str(tmp_path / "none"), str(tmp_path / "out2")).first()["rows"] == 0
