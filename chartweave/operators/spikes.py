@@ -408,7 +408,7 @@ def flag_spikes(df: DataFrame, times: float = 5.0, least_run: int = 4, floor: bo
         weeks = cut(weeks.repartition("market", "block"))
         hot = weeks.join(large, F.col("market").eqNullSafe(F.col("k")), "left_semi").repartition("market", "block").sortWithinPartitions(*by)
         # a market's summaries, of bounded size, are added up in two steps
-        sums = summarize_blocks(hot).withColumn("some", F.floor(F.rand(7) * 64).cast("int"))
+        sums = summarize_blocks(hot).withColumn("some", F.pmod(F.xxhash64("summary"), F.lit(64)).cast("int"))
         sums = sums.groupBy("market", "field", "some").applyInPandas(_merge, sums.schema).groupBy("market", "field").applyInPandas(_merge, sums.schema)
 
         def pack(group: pd.DataFrame) -> pd.DataFrame:
