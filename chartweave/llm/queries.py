@@ -35,6 +35,11 @@ def p4_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return collapse_copies(table(spark, d, "chart_template"))
 
 
+def p4_counts(spark: SparkSession, d: str) -> DataFrame:
+    """How many rows each kept row stands for."""
+    return p4_collapsed(spark, d).select("row_id", "copies")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return act_pairs(cut(resolve_acts(table(spark, d, "credit_names"))))
 
@@ -73,7 +78,7 @@ def p10_clean(spark: SparkSession, d: str) -> DataFrame:
     return without_residue(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p4_collapsed, p6_found, p6_acts, p8_ids, p9_mix, p9_shares, p9_on_target, p10_found, p10_reasons, p10_clean)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p4_collapsed, p4_counts, p6_found, p6_acts, p8_ids, p9_mix, p9_shares, p9_on_target, p10_found, p10_reasons, p10_clean)}
 
 _L = r"regexp_replace(replace(lower({c}), 'ß', 'ss'), '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g')"
 _APART = r"\s*[;&,]\s*|[\s_\x{A0}/.-]feat\.?[\s_\x{A0}/-]+|[\s\x{A0}_-]/+[\s\x{A0}_-]|//+"
@@ -101,4 +106,6 @@ SELECT m AS keep_id, row_id AS copy_id FROM l3 WHERE m < row_id"""
 P9_SQL = """WITH h AS (SELECT DISTINCT source FROM documents WHERE length(text) > 0), t AS (SELECT source, CASE WHEN source IN (SELECT source FROM h WHERE source IS NOT NULL) THEN target_share ELSE 0 END s FROM mix_targets)
 SELECT source, round(s / sum(s) OVER (), 9) AS due_share, true AS reached FROM t"""
 
-SQL: dict[str, str] = {"p4_found": P4_SQL, "p9_on_target": P9_SQL}
+P4_COUNTS_SQL = f"""WITH l AS ({P4_SQL}) SELECT t.row_id, 1 + (SELECT count(*) FROM l WHERE keep_id = t.row_id) AS copies FROM chart_template t WHERE t.row_id NOT IN (SELECT copy_id FROM l)"""
+
+SQL: dict[str, str] = {"p4_found": P4_SQL, "p4_counts": P4_COUNTS_SQL, "p9_on_target": P9_SQL}

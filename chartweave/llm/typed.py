@@ -37,19 +37,31 @@ def edits(a: str, b: str, most: int = 4) -> int:
         a, b = a[:-1], b[:-1]
     if not a or not b:
         return len(a) + len(b)
+    # only a band around the diagonal can hold `most` edits or less
+    far, n = most + 1, len(b)
     before: list[int] = []
-    row = list(range(len(b) + 1))
+    row = [j if j <= most else far for j in range(n + 1)]
     for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            d = min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y))
-            if before and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            new.append(d)
-        if min(new) > most:
-            return most + 1
+        first, last = max(1, i - most), min(n, i + most)
+        new = [far] * (n + 1)
+        if i <= most:
+            new[0] = i
+        least = new[0]
+        for j in range(first, last + 1):
+            d = row[j - 1] + (x != b[j - 1])
+            if row[j] < d - 1:
+                d = row[j] + 1
+            if new[j - 1] < d - 1:
+                d = new[j - 1] + 1
+            if before and j > 1 and x == b[j - 2] and a[i - 2] == b[j - 1] and before[j - 2] < d - 1:
+                d = before[j - 2] + 1
+            new[j] = d
+            if d < least:
+                least = d
+        if least > most:
+            return far
         before, row = row, new
-    return row[-1]
+    return row[n]
 
 
 VOWELS = re.compile(r"[aeiou]")
