@@ -222,3 +222,37 @@ def test_names_alike_share_keys(a, b):
     # a slip in the first letter is left to the song
     if n == 3 and {w[0] for w in p[1]} & {w[0] for w in q[1]} and all(w in q[1] or any(v[0] == w[0] for v in q[1]) for w in p[1]):
         assert names.name_keys(p) & names.name_keys(q), (p, q)
+
+
+def test_near_songs_meet_in_few_groups(spark):
+    songs = [f"{n}olivecorridors" for n in range(10, 100)] + ["harbourandblanket", "harbuorandblanket", "harboorandblanket"]
+    got = {r["song"]: (set(r["likes"]), set(r["groups"])) for r in names.near_songs(spark.createDataFrame([(s,) for s in songs], "song string")).collect()}
+    assert all(got[a][1] & got[b][1] for a, b in itertools.combinations(songs, 2) if edits(a, b, 2) <= 2)
+    # each numbered song is near all the others, by what is left without the two digits
+    assert max(len(x[0]) for x in got.values()) == 89 and max(len(x[1]) for x in got.values()) <= 3
+
+
+@pytest.mark.parametrize("n", [6, 7, 12, 24])
+def test_short_marks(n):
+    rng = random.Random(n)
+    base = "".join(rng.choice("abé𝄞") for _ in range(n))
+    songs = [base, *("".join(rng.choice("abé𝄞") if rng.random() < 0.2 else c for c in base) for _ in range(12))]
+    marks = [set(m.tolist()) for m in names._short_marks(songs, n)]
+    left = [names.without_letters(s, 2) for s in songs]
+    assert [len(m) for m in marks] == [len(x) for x in left]
+    assert all(len(marks[i] & marks[j]) == len(left[i] & left[j]) for i, j in itertools.combinations(range(len(songs)), 2))
+
+
+def test_forms_hold_the_whole_name():
+    for n in ("Brorolund St. Band", 'Thomas "Tom" Stofith', "Lozilund, Z.", "J.", "", "Orchestra", "S.S."):
+        p = names.parse_name(n.lower())
+        assert names.read_form(names.name_form(p)) == p
+
+
+def test_small_rounds_give_the_same_acts(spark, monkeypatch):
+    rows = [(1, "Robert Smith", "Inkwell"), (2, "Bob Smith", "Compass"), (3, "B. Smith", "Inkwell"), (4, "Smith, R.", "Compass"), (5, "Barry Smith", "Lantern"), (6, "J.", "Inkwell"), (7, "j", "Inkwell"), (8, "J.", "Inkwell"), (9, "Rob Smtih", "Inkwell"), (10, None, None)]
+    df = spark.createDataFrame(rows, "name_id long, artist string, song string")
+    want = {r["name_id"]: r["act"] for r in names.resolve_acts(df).collect()}
+    assert want == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 6, 7: 7, 8: 6, 9: 1, 10: 10}
+    monkeypatch.setattr(names, "SCANNED", -1)
+    assert want == {r["name_id"]: r["act"] for r in names.resolve_acts(df).collect()}
